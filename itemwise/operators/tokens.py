@@ -4,16 +4,17 @@ The top-k rule: a list longer than ``k`` is ordered by the token's frequency
 in its day (descending; ties keep list order) and cut to ``k``; a list of
 ``k`` or fewer tokens keeps its own order.  The result is padded to ``k``.
 
-Two plans give the same answer:
-
-* **map plan** – when the day's vocabulary is provably small
-  (``has_at_most``), it is folded into one ``map<token, n>`` per day, that
-  row is broadcast and joined on the day, and each list is ranked in place
-  with higher-order array functions.  No row moves.
-* **shuffle plan** – otherwise only lists longer than ``k`` are exploded
-  with their position, joined to the frequency table on (day, token),
-  regrouped per row key and joined back.  Lists of at most ``k`` tokens skip
-  the join entirely.
+Plan: only lists longer than ``k`` are exploded with their positions and
+joined to the day's frequency table on (day, token) – a broadcast hash join
+when the table is provably small, a shuffle join otherwise – then regrouped
+per row key, sorted by (-frequency, position) and joined back.  Lists of at
+most ``k`` tokens never leave their row.  When the input is already
+partitioned by (day, key) – as it is after the per-title dedup – the
+regroup and the join back reuse that partitioning.
+
+(Spark map lookups are linear scans, so a broadcast ``map<token, n>``
+probed per token would be quadratic in the vocabulary; the join is used
+instead.)
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ DELIMITER = ";"
 # Pads are null inside the pipeline: a real token may be the text "-1".
 PAD = None
 
-# Upper bound on a day's vocabulary for the broadcast map plan.
-MAP_PLAN_MAX_TOKENS = 500_000
+# Row bound under which the token frequency table is broadcast.
+MAP_PLAN_MAX_TOKENS = 2_000_000
 
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
@@ -80,63 +81,97 @@ def _pad(arr: Column, k: int, pad) -> Column:
     return F.concat(arr, F.array_repeat(filler, F.greatest(F.lit(0), F.lit(k) - F.size(arr))))
 
 
-def _ranked_by(arr: Column, weight, k: int) -> Column:
-    """Top ``k`` of ``arr`` by (weight desc, position asc)."""
-    keyed = F.transform(arr, lambda t, i: F.struct((-weight(t)).alias("w"), i.alias("p"),
-                                                   t.alias("t")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s.getField("t"))
-
-
-def topk_tokens(df: DataFrame, column: str, k: int, keys: Sequence[str],
-                group: Sequence[str] = ("ds",), out: str | None = None,
-                delim: str = DELIMITER, pad=PAD,
-                max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
-    """Append ``out`` (default ``<column>_topk``): an array of exactly ``k``.
+def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], keys: Sequence[str],
+               group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD,
+               max_map_tokens: int = MAP_PLAN_MAX_TOKENS,
+               out_fmt: str = "{}_topk") -> DataFrame:
+    """Append one array of exactly ``k`` tokens per (column, k) in ``specs``.
 
+    All list columns are handled in one pass: a single explode of every
+    (column, position, token), one frequency aggregate per (group, column,
+    token), one join, one regroup per (row key, column) and one join back.
     ``keys`` must identify a row within its group (after cleaning the title
-    is unique per day); they are needed only by the shuffle plan.
+    is unique per day).
     """
     group, keys = list(group), list(keys)
-    out = out or f"{column}_topk"
-    arr = split_tokens(column, delim)
-    freq = token_frequency(df, column, group, delim)
-
+    specs = [(c, k) for c, k in specs if c in df.columns]
+    if not specs:
+        return df
+    gk = group + keys
+    arrays = {c: split_tokens(c, delim) for c, _ in specs}
+    # Split once into columns; lambdas below only reference those columns.
+    split_cols = df.select(*[col(x) for x in gk],
+                           *[arrays[c].alias(f"__a{i}") for i, (c, _) in enumerate(specs)])
+
+    def tagged(i: int, c: str, k: int) -> Column:
+        a = F.col(f"__a{i}")
+        return F.transform(a, lambda t, j: F.struct(
+            F.lit(c).alias("list"), j.alias("pos"), t.alias("token"),
+            (F.size(a) > k).alias("long")))
+
+    pieces = [tagged(i, c, k) for i, (c, k) in enumerate(specs)]
+    empty = F.array().cast("array<struct<list:string,pos:int,token:string,long:boolean>>")
+    tokens = split_cols.select(*[col(x) for x in gk],
+                               F.explode(F.flatten(F.array(*[F.coalesce(p, empty) for p in pieces])))
+                               .alias("e")).select(*[col(x) for x in gk], "e.*")
+    freq = tokens.groupBy(*[col(g) for g in group], "list", "token").agg(F.count(F.lit(1)).alias("n"))
     if max_map_tokens > 0 and has_at_most(freq, max_map_tokens):
-        vocab = (freq.groupBy(*group)
-                     .agg(F.map_from_entries(F.collect_list(F.struct("token", "n"))).alias("__vocab")))
-        joined = merge(df, F.broadcast(vocab), on=group, how="left")
-        v = F.col("__vocab")
-        top = _ranked_by(arr, lambda t: F.coalesce(F.try_element_at(v, t), F.lit(0)), k)
-        chosen = F.when(F.size(arr) > k, top).otherwise(arr)
-        res = F.when(arr.isNull(), F.array_repeat(F.lit(pad).cast("string"), k)) \
-               .otherwise(_pad(chosen, k, pad))
-        return joined.withColumn(out, res).drop("__vocab")
-
-    long_rows = (df.where(F.size(arr) > k)
-                   .select(*[col(c) for c in group + keys],
-                           F.posexplode(arr).alias("__pos", "token")))
-    ranked = (long_rows.join(freq, group + ["token"], "left")
-              .groupBy(*[col(c) for c in group + keys])
+        freq = F.broadcast(freq)
+    ranked = (tokens.where("long")
+              .join(freq, group + ["list", "token"], "left")
+              .groupBy(*[col(x) for x in gk], "list")
               .agg(F.array_sort(F.collect_list(
                   F.struct((-F.coalesce(F.col("n"), F.lit(0))).alias("w"),
-                           F.col("__pos").alias("p"), F.col("token").alias("t")))).alias("__r")))
-    ranked = ranked.select(*[col(c) for c in group + keys],
-                           F.transform(F.slice("__r", 1, k), lambda s: s.getField("t")).alias("__top"))
-    joined = merge(df, ranked, on=group + keys, how="left")
-    chosen = F.when(F.size(arr) > k, F.col("__top")).otherwise(arr)
-    res = F.when(arr.isNull(), F.array_repeat(F.lit(pad).cast("string"), k)) \
-           .otherwise(_pad(chosen, k, pad))
-    return joined.withColumn(out, res).drop("__top")
+                           F.col("pos").alias("p"), F.col("token").alias("t")))).alias("r")))
+    wide = ranked.groupBy(*[col(x) for x in gk]).pivot("list", [c for c, _ in specs]).agg(
+        F.first("r"))
+    wide = wide.select(*[col(x) for x in gk],
+                       *[F.transform(F.slice(col(c), 1, k), lambda s: s.getField("t"))
+                         .alias(f"__top_{i}") for i, (c, k) in enumerate(specs)])
+    joined = merge(df, wide, on=gk, how="left")
+    outs = {}
+    for i, (c, k) in enumerate(specs):
+        arr = arrays[c]
+        chosen = F.when(F.size(arr) > k, F.col(f"__top_{i}")).otherwise(arr)
+        outs[out_fmt.format(c)] = F.when(arr.isNull(), F.array_repeat(F.lit(pad).cast("string"), k)) \
+                                   .otherwise(_pad(chosen, k, pad))
+    return joined.withColumns(outs).drop(*[f"__top_{i}" for i in range(len(specs))])
+
+
+def topk_tokens(df: DataFrame, column: str, k: int, keys: Sequence[str],
+                group: Sequence[str] = ("ds",), out: str | None = None,
+                delim: str = DELIMITER, pad=PAD,
+                max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
+    """Append ``out`` (default ``<column>_topk``): an array of exactly ``k``."""
+    fmt = out if out else "{}_topk"
+    return topk_lists(df, [(column, k)], keys, group, delim, pad, max_map_tokens, fmt)
+
+
+def expand_lists(df: DataFrame, specs: Sequence[tuple[str, int, Sequence[str]]],
+                 keys: Sequence[str], group: Sequence[str] = ("ds",), delim: str = DELIMITER,
+                 pad=PAD, max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
+    """Replace each list column by ``k`` named columns of its top-k tokens;
+    a column that is absent is reported and skipped."""
+    present = []
+    for c, k, names in specs:
+        if c not in df.columns:
+            print(f"Error: Column '{c}' does not exist in the DataFrame")
+            continue
+        present.append((c, k, list(names)))
+    if not present:
+        return df
+    out = topk_lists(df, [(c, k) for c, k, _ in present], keys, group, delim, pad,
+                     max_map_tokens, "__{}_topk")
+    out = out.select("*", *[F.col(f"__{c}_topk")[i].alias(n)
+                            for c, _, names in present for i, n in enumerate(names)])
+    return drop_strict(out, [f"__{c}_topk" for c, _, _ in present] + [c for c, _, _ in present])
 
 
 def expand_list(df: DataFrame, column: str, k: int, names: Sequence[str], keys: Sequence[str],
                 group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD,
                 max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
     """Replace a list column by ``k`` columns holding its top-k tokens."""
-    tmp = f"__{column}_topk"
-    out = topk_tokens(df, column, k, keys, group, tmp, delim, pad, max_map_tokens)
-    out = out.select("*", *[F.col(tmp)[i].alias(n) for i, n in enumerate(names)])
-    return drop_strict(out, [tmp, column])
+    return expand_lists(df, [(column, k, names)], keys, group, delim, pad, max_map_tokens)
 
 
 def expand_features(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
@@ -148,14 +183,17 @@ def expand_features(df: DataFrame, keys: Sequence[str], group: Sequence[str] = (
 
 def expand_pairs(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
                  columns: Sequence[str] = PAIR_COLUMNS, k: int = PAIR_K, **kw) -> DataFrame:
-    """``scenario``/``brand_real``/``audience`` -> ``<c>_1``, ``<c>_2``; a
-    column that is absent is reported and skipped."""
-    for c in columns:
-        if c not in df.columns:
-            print(f"Error: Column '{c}' does not exist in the DataFrame")
-            continue
-        df = expand_list(df, c, k, [f"{c}_{i + 1}" for i in range(k)], keys, group, **kw)
-    return df
+    """``scenario``/``brand_real``/``audience`` -> ``<c>_1``, ``<c>_2``."""
+    return expand_lists(df, [(c, k, [f"{c}_{i + 1}" for i in range(k)]) for c in columns],
+                        keys, group, **kw)
+
+
+def expand_item_lists(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
+                      **kw) -> DataFrame:
+    """Both expansion steps of the cleaning stage in one pass."""
+    specs = [("feature", FEATURE_K, FEATURE_NAMES)] + [
+        (c, PAIR_K, [f"{c}_{i + 1}" for i in range(PAIR_K)]) for c in PAIR_COLUMNS]
+    return expand_lists(df, specs, keys, group, **kw)
 
 
 def split_length_histogram(df: DataFrame, column: str, delim: str = DELIMITER,

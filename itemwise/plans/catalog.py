@@ -115,3 +115,246 @@ query("label_distribution",
       f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)}\n"
       "SELECT lable_x, count(*) AS rows FROM labelled GROUP BY lable_x")(
     lambda spark, d: P.label_distribution(Ctx(spark, d).labelled()))
+
+
+# --- shared stand-ins on other driver tables ---------------------------------
+
+def events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with payloads: error events carry a truncated object; the
+    nested form wraps props under "outer" (view events under "other")."""
+    e = S.table(spark, sf_dir, "events")
+    bad = F.col("event_type") == "error"
+    props = F.when(bad, F.substring("props", 1, 5)).otherwise(F.col("props"))
+    nested = (F.when(F.col("event_type") == "view", F.concat(F.lit('{"other":'), "props", F.lit("}")))
+               .when(bad, F.concat(F.lit('{"outer":'), F.substring("props", 1, 5)))
+               .otherwise(F.concat(F.lit('{"outer":'), "props", F.lit("}"))))
+    return e.select("event_id", "event_type", props.alias("props"), nested.alias("nested"))
+
+
+def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(label, score): purchases are positives, score = value / (value + 50)."""
+    e = S.table(spark, sf_dir, "events")
+    return e.select((F.col("event_type") == "purchase").cast("int").alias("label"),
+                    (F.col("value") / (F.col("value") + 50.0)).alias("score"))
+
+
+# --- JSON ---------------------------------------------------------------------
+
+from itemwise.functions import jsoncols as J  # noqa: E402
+
+query("json_flat_extract",
+      f"WITH {O.EVENTS_JSON} SELECT event_id, props, "
+      f"{O.json_field('props', '$.k')} AS k, {O.json_field('props', '$.category_first')} AS category_first "
+      "FROM ev")(
+    lambda spark, d: J.extract_flat(events_json(spark, d).select("event_id", "props"), "props",
+                                    ["k", "category_first"]))
+
+query("json_nested_extract",
+      f"WITH {O.EVENTS_JSON} SELECT event_id, nested, "
+      f"TRY_CAST({O.json_field('nested', '$.outer.k')} AS DOUBLE) AS nested_k, "
+      f"{O.json_field('nested', '$.outer.unit')} AS nested_unit FROM ev")(
+    lambda spark, d: J.extract_nested(events_json(spark, d).select("event_id", "nested"), "nested",
+                                      "outer", [("k", "double"), ("unit", "string")]))
+
+query("json_corrupt_count",
+      f"WITH {O.EVENTS_JSON} SELECT count_if(props IS NOT NULL AND NOT json_valid(props)) "
+      "AS n_corrupt, count(props) AS n_values FROM ev")(
+    lambda spark, d: J.corrupt_count(events_json(spark, d), "props", ["k"]))
+
+query("json_stats_extract",
+      f"WITH {O.RAW_BASE} SELECT \"ranked_categories.category_name\" AS category_name, "
+      f"{', '.join(O.stat_columns('s'))} FROM ssr_src s")(
+    lambda spark, d: M.extract_stats(
+        Ctx(spark, d).src("ssr_src")).withColumnRenamed("ranked_categories.category_name",
+                                                        "category_name")
+    .drop(*[f"ranked_categories.{c}" for c, _ in M.STAT_COLUMNS]))
+
+# --- joins --------------------------------------------------------------------
+
+from itemwise.operators import joins as JN  # noqa: E402
+from itemwise.operators import columns as CO  # noqa: E402
+
+SUFFIX_COLS = ("l.ds, l.title AS title_x, l.buy_num AS buy_num_x, l.click_num AS click_num_x, "
+               "d.item_title, d.title AS title_y, d.buy_num AS buy_num_y, d.click_num AS click_num_y, "
+               "d.coupons_share_url, d.goods_id, d.item_id, d.\"update\", d.row_num, d.item_id_temp, "
+               + ", ".join("d." + c for c in O.D1_COLS))
+
+query("suffix_join",
+      f"WITH {O.RAW_BASE} SELECT {SUFFIX_COLS} FROM label_src l LEFT JOIN dua_src d "
+      "ON l.ds IS NOT DISTINCT FROM d.ds AND l.title IS NOT DISTINCT FROM d.item_title")(
+    lambda spark, d: JN.merge(Ctx(spark, d).src("label_src"), Ctx(spark, d).src("dua_src"),
+                              on=["ds"], left_on=["title"], right_on=["item_title"]))
+
+
+def _masked_keys(spark, d):
+    c = S.table(spark, d, "customer")
+    s = S.table(spark, d, "supplier")
+    c = c.select(F.when(F.col("c_mktsegment") == "BUILDING", None).otherwise(F.col("c_custkey"))
+                 .alias("key"), "c_name")
+    s = s.select(F.when(F.col("s_nationkey") < 3, None).otherwise(F.col("s_suppkey"))
+                 .alias("key"), "s_name")
+    return c, s
+
+
+MASKED_SQL = """c AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS key,
+                     c_name FROM customer),
+s AS (SELECT CASE WHEN s_nationkey < 3 THEN NULL ELSE s_suppkey END AS key, s_name FROM supplier)"""
+
+query("nullsafe_left_join",
+      f"WITH {MASKED_SQL} SELECT c.key, c.c_name, s.s_name FROM c LEFT JOIN s "
+      "ON c.key IS NOT DISTINCT FROM s.key")(
+    lambda spark, d: JN.nullsafe_left_join(*_masked_keys(spark, d), on=["key"]))
+
+query("plain_left_join",
+      f"WITH {MASKED_SQL} SELECT c.key, c.c_name, s.s_name FROM c LEFT JOIN s ON c.key = s.key")(
+    lambda spark, d: JN.merge(*_masked_keys(spark, d), on=["key"], how="left", null_equal=False))
+
+query("empty_source_left_join",
+      f"WITH {O.RAW_BASE} SELECT l.ds, l.title AS title_x, l.buy_num AS buy_num_x, "
+      "l.click_num AS click_num_x, " + ", ".join(
+          f"CAST(NULL AS {'BIGINT' if c == 'weekly_order_cnt' else 'DOUBLE' if c in O.D1_COLS[5:] else 'VARCHAR'}) AS {c}"
+          for c in O.D1_COLS) + " FROM label_src l")(
+    lambda spark, d: M.label_with_items(
+        Ctx(spark, d).src("label_src"),
+        spark.createDataFrame([], Ctx(spark, d).src("dua_src").schema)))
+
+CF_VIEW = LABEL_VIEW + ["level_one_category_name", "category_name", "tb_push", "tb_pay_money",
+                        "tb_ctr", "tb_cvr"]
+
+query("left_join_composite",
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)},\n{O.WITH_CF}\n"
+      f"SELECT {', '.join(CF_VIEW)} FROM with_cf")(
+    lambda spark, d: JN.left_join_dimension(Ctx(spark, d).labelled(),
+                                            Ctx(spark, d).src("category_feature_src"),
+                                            on=["level_one_category_name", "category_name"])
+    .select(*CF_VIEW))
+
+query("blacklist_anti",
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)}\n"
+      f"SELECT {', '.join(LABEL_VIEW)}, category_name FROM labelled "
+      "WHERE category_name IS NULL OR category_name NOT IN (SELECT category_name FROM blacklist_src)")(
+    lambda spark, d: JN.remove_blacklisted(Ctx(spark, d).labelled(),
+                                           Ctx(spark, d).src("blacklist_src"))
+    .select(*LABEL_VIEW, "category_name"))
+
+# --- filters ------------------------------------------------------------------
+
+query("drop_null_key",
+      f"WITH {O.RAW_BASE} SELECT * FROM raw_d1 WHERE category_name IS NOT NULL")(
+    lambda spark, d: C.drop_null_key(Ctx(spark, d).raw_d1()))
+
+query("exclude_single_buy",
+      f"WITH {O.RAW_BASE} SELECT * FROM raw_d1 WHERE buy_num_x IS DISTINCT FROM 1")(
+    lambda spark, d: Ctx(spark, d).raw_d1().where(LB.not_single_buy()))
+
+query("tighten_negatives",
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)}\n"
+      f"SELECT {', '.join(LABEL_VIEW)} FROM labelled "
+      "WHERE lable_x IS DISTINCT FROM 0 OR weekly_order_cnt < 4")(
+    lambda spark, d: C.tighten(Ctx(spark, d).labelled()).select(*LABEL_VIEW))
+
+query("funnel_filter",
+      f"WITH {O.RAW_BASE} SELECT * FROM raw_d1 WHERE click_num_x > buy_num_x AND buy_num_x > 0")(
+    lambda spark, d: C.funnel_filter(Ctx(spark, d).raw_d1(), push="click_num_x",
+                                     click="buy_num_x"))
+
+# --- dedup on documents (exact and key copies) --------------------------------
+
+query("distinct_rows",
+      "SELECT DISTINCT text, lang, source, n_chars FROM documents")(
+    lambda spark, d: C.distinct_rows(S.table(spark, d, "documents")
+                                     .select("text", "lang", "source", "n_chars")))
+
+query("dedup_keep_first",
+      "SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, row_number() OVER "
+      "(PARTITION BY text ORDER BY n_chars DESC NULLS FIRST, doc_id) AS rn FROM documents) "
+      "WHERE rn = 1")(
+    lambda spark, d: C.dedup_keep_first(S.table(spark, d, "documents"), ["text"],
+                                        [("n_chars", False), ("doc_id", True)]))
+
+# --- tokens -------------------------------------------------------------------
+
+from itemwise.operators import tokens as TK  # noqa: E402
+
+DOC_TOK = ("WITH t AS (SELECT lang, unnest(string_split(text, ' ')) AS token FROM documents "
+           "WHERE text IS NOT NULL), f AS (SELECT lang, token, count(*) AS n FROM t GROUP BY lang, token)")
+
+
+def _docs(spark, d):
+    return S.table(spark, d, "documents").select("doc_id", "lang", "text")
+
+
+query("split_tokens",
+      "SELECT doc_id, len(string_split(text, ' ')) AS n_tokens, "
+      "string_split(text, ' ')[1] AS first_token, string_split(text, ' ')[-1] AS last_token "
+      "FROM documents")(
+    lambda spark, d: _docs(spark, d).select(
+        "doc_id", F.size(TK.split_tokens("text", " ")).alias("n_tokens"),
+        TK.split_tokens("text", " ")[0].alias("first_token"),
+        F.element_at(TK.split_tokens("text", " "), -1).alias("last_token")))
+
+query("token_frequency", DOC_TOK + " SELECT lang, token, n FROM f")(
+    lambda spark, d: TK.token_frequency(_docs(spark, d), "text", ["lang"], " "))
+
+query("top_tokens",
+      DOC_TOK + " SELECT lang, token, n, rank FROM (SELECT *, row_number() OVER "
+      "(PARTITION BY lang ORDER BY n DESC, token) AS rank FROM f) WHERE rank <= 20")(
+    lambda spark, d: TK.top_tokens(TK.token_frequency(_docs(spark, d), "text", ["lang"], " "),
+                                   20, ["lang"]))
+
+TOP6 = [f"top{i}" for i in range(1, 7)]
+TOP2 = ["text_1", "text_2"]
+
+query("topk_tokens_6", O.docs_topk(6, TOP6))(
+    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["doc_id"], ["lang"], " "))
+
+query("topk_tokens_2", O.docs_topk(2, TOP2))(
+    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 2, TOP2, ["doc_id"], ["lang"], " "))
+
+query("topk_tokens_shuffle_plan", O.docs_topk(6, TOP6))(
+    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["doc_id"], ["lang"], " ",
+                                    max_map_tokens=0))
+
+query("split_length_histogram",
+      "SELECT len(string_split(text, ' ')) AS n_tokens, count(*) AS rows FROM documents "
+      "WHERE text IS NOT NULL GROUP BY 1")(
+    lambda spark, d: TK.split_length_histogram(_docs(spark, d), "text", " "))
+
+query("split_length_stats",
+      "WITH h AS (SELECT len(string_split(text, ' ')) AS n_tokens, count(*) AS rows FROM documents "
+      "WHERE text IS NOT NULL GROUP BY 1) SELECT (SELECT max(n_tokens) FROM h) AS max_tokens, "
+      "n_tokens AS mode_tokens, rows AS mode_rows FROM h ORDER BY rows DESC, n_tokens LIMIT 1")(
+    lambda spark, d: TK.split_length_stats(_docs(spark, d), "text", " "))
+
+CLEAN_SQL = f"WITH {O.clean_ctes('a')}"
+EXPAND_VIEW = ["ds", "title_x", "lable_x"] + TK.FEATURE_NAMES + [
+    "scenario_1", "scenario_2", "brand_real_1", "brand_real_2", "audience_1", "audience_2"]
+
+query("expand_tokens", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FROM clean")(
+    lambda spark, d: Ctx(spark, d).clean().select(*EXPAND_VIEW))
+
+query("item_token_frequency",
+      CLEAN_SQL.replace("clean AS (", "ignored AS (") if False else
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)},\n{O.WITH_CF}\n"
+      "SELECT ds, token, count(*) AS n FROM (SELECT ds, unnest(string_split(feature, ';')) AS token "
+      "FROM with_cf WHERE feature IS NOT NULL) GROUP BY ds, token")(
+    lambda spark, d: TK.token_frequency(
+        JN.left_join_dimension(Ctx(spark, d).labelled(), Ctx(spark, d).src("category_feature_src"),
+                               on=["level_one_category_name", "category_name"]),
+        "feature", ["ds"]))
+
+# --- conflicts ----------------------------------------------------------------
+
+from itemwise.operators import conflicts as CF  # noqa: E402
+
+query("label_pivot", CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT title_x, n0, n1 FROM label_counts")(
+    lambda spark, d: CF.label_pivot(Ctx(spark, d).clean()))
+
+query("conflict_report",
+      CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT count_if(n0 > 0 AND n1 > 0) AS n_conflicting, "
+      "count(*) AS n_titles, round(CAST(count_if(n0 > 0 AND n1 > 0) AS DOUBLE) / count(*), 6) "
+      "AS share FROM label_counts")(
+    lambda spark, d: CF.conflict_report(Ctx(spark, d).clean()).withColumn("share", r6("share")))
+
+query("remove_conflicts", CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT {', '.join(EXPAND_VIEW)} FROM train_all")(
+    lambda spark, d: PR.training_set(Ctx(spark, d).clean()).select(*EXPAND_VIEW))

@@ -155,10 +155,29 @@ RAW_BASE = ",\n".join([duck_ctes("label_src", "dua_src", "llm_src", "ici_src", "
                                  "category_feature_src", "blacklist_src"),
                        RAW_D1, LLM_PARSED, LLM_SSR, RAW])
 
-CONFLICTS = """pivot AS (
+CONFLICTS = """label_counts AS (
   SELECT title_x, count_if(lable_x = 0) AS n0, count_if(lable_x = 1) AS n1
   FROM clean WHERE title_x IS NOT NULL GROUP BY title_x),
-conflicting AS (SELECT title_x FROM pivot WHERE n0 > 0 AND n1 > 0),
+conflicting AS (SELECT title_x FROM label_counts WHERE n0 > 0 AND n1 > 0),
 train_all AS (
   SELECT * FROM clean c
   WHERE c.title_x IS NULL OR c.title_x NOT IN (SELECT title_x FROM conflicting))"""
+
+
+def docs_topk(k: int, names: list[str]) -> str:
+    ctes, out = topk_ctes("documents", "text", k, names, ["doc_id"], ["lang"], "dt", " ")
+    return f"WITH {ctes}\nSELECT doc_id, lang, {', '.join(names)} FROM {out}"
+
+
+EVENTS_JSON = """ev AS (
+  SELECT event_id, event_type,
+         CASE WHEN event_type = 'error' THEN substr(props, 1, 5) ELSE props END AS props,
+         CASE WHEN event_type = 'view' THEN concat('{"other":', props, '}')
+              WHEN event_type = 'error' THEN concat('{"outer":', substr(props, 1, 5))
+              ELSE concat('{"outer":', props, '}') END AS nested
+  FROM events)"""
+
+EVENT_SCORES = """scored AS (
+  SELECT CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS label,
+         value / (value + 50.0) AS score
+  FROM events)"""

@@ -34,6 +34,9 @@ def get_spark(master: str | None = None, app: str = "itemwise",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode runs every task inside the driver JVM.
+        conf["spark.driver.memory"] = os.environ.get("ITEMWISE_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -82,3 +85,11 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     This is the size proof used before any explicit broadcast.
     """
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    the written copy (a reliable checkpoint: it survives lost executors and
+    cuts the lineage, so later branches do not recompute the upstream)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
