@@ -2,7 +2,8 @@
 single-task window.
 
 A window ``ORDER BY x`` with no ``PARTITION BY`` moves every row into one
-task.  Here the rows are range-partitioned on the order key instead; each
+task.  Here the rows are range-partitioned on the order key instead (and
+checkpointed, so the partition of a row is fixed); each
 partition's totals (one row per partition and group) are summed into
 offsets, which are broadcast back (their size is bounded by the partition
 count times the number of groups), and the local running total inside each
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemwise.session import materialize
+
 DEFAULT_RANGES = 64
 
 
@@ -39,8 +42,10 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Colum
     group = list(group)
     n = _n_ranges(df, ranges)
     base = df.select("*", *[e.alias(f"__v_{k}") for k, e in sums.items()])
-    part = base.repartitionByRange(n, *[F.col(g) for g in group], *order) \
-               .withColumn("__pid", F.spark_partition_id())
+    # The partition id must be the same in both branches below and after a
+    # task retry, so the range-partitioned rows are checkpointed once.
+    part = materialize(base.repartitionByRange(n, *[F.col(g) for g in group], *order)
+                       .withColumn("__pid", F.spark_partition_id()))
     totals = part.groupBy(*group, "__pid").agg(*[F.sum(f"__v_{k}").alias(f"__t_{k}") for k in sums])
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "__pid",

@@ -44,7 +44,7 @@ def profile_nunique(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value"))
                       for c in cols])
     longf = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-    distinct = longf.groupBy("column", "value").agg()
+    distinct = longf.distinct()
     counted = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return (names.join(counted, "column", "left")

@@ -358,3 +358,277 @@ query("conflict_report",
 
 query("remove_conflicts", CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT {', '.join(EXPAND_VIEW)} FROM train_all")(
     lambda spark, d: PR.training_set(Ctx(spark, d).clean()).select(*EXPAND_VIEW))
+
+
+# --- stages for encoding / training ------------------------------------------
+
+from itemwise.operators import encode as EN  # noqa: E402
+from itemwise.operators import evaluate as EV  # noqa: E402
+from itemwise.operators import model as MD  # noqa: E402
+from itemwise.operators import sample as SP  # noqa: E402
+from itemwise.plans import train as TR  # noqa: E402
+from itemwise.session import scratch_path  # noqa: E402
+from itemwise.sources import dated as DT  # noqa: E402
+from itemwise.sources import files as FI  # noqa: E402
+
+# Rounds used by the registered model queries (the library default is the
+# original's upper limit of 2000 with early stopping).
+QUERY_ROUNDS = 20
+
+
+def _train_all(ctx: Ctx) -> DataFrame:
+    return ctx._get("train_all", lambda: PR.training_set(ctx.clean()))
+
+
+def _split(ctx: Ctx):
+    return ctx._get("split", lambda: TR.training_inputs(_train_all(ctx)))
+
+
+def _encoded(ctx: Ctx):
+    return ctx._get("encoded", lambda: TR.fit_and_encode(*_split(ctx)))
+
+
+def _model(ctx: Ctx):
+    def build():
+        tr, te, _ = _encoded(ctx)
+        return TR.train_model(tr, te, max_iter=QUERY_ROUNDS)
+    return ctx._get("model", build)
+
+
+TRAIN_SQL = f"WITH {O.train_ctes(TR.CUT)}"
+
+# --- profiles -----------------------------------------------------------------
+
+PROFILE_COLS = EN.FIT_COLUMNS + ["lable_x", "weekly_order_cnt", "zk_final_price", "convert_rate"]
+
+query("profile_nunique",
+      CLEAN_SQL + ",\n" + O.CONFLICTS + "\n" + " UNION ALL ".join(
+          f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM clean"
+          for c in PROFILE_COLS))(
+    lambda spark, d: P.profile_nunique(Ctx(spark, d).clean(), PROFILE_COLS))
+
+query("distinct_with_null",
+      f"WITH {O.RAW_BASE} SELECT count(DISTINCT category_second) + "
+      "coalesce(max(CAST(category_second IS NULL AS INTEGER)), 0) AS n_unique FROM raw")(
+    lambda spark, d: P.distinct_with_null(Ctx(spark, d).raw(), "category_second"))
+
+query("equal_width_histogram",
+      f"WITH {O.RAW_BASE}, v AS (SELECT CAST(weekly_order_cnt AS DOUBLE) AS x FROM raw_d1 "
+      "WHERE weekly_order_cnt IS NOT NULL), m AS (SELECT min(x) AS lo, max(x) AS hi FROM v), "
+      "b AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) / ((hi - lo) / 1000.0)), 999) "
+      "END AS INTEGER) AS bin, lo, hi FROM v, m) "
+      "SELECT bin, round(lo + bin * ((hi - lo) / 1000.0), 6) AS lower, "
+      "round(lo + (bin + 1) * ((hi - lo) / 1000.0), 6) AS upper, count(*) AS rows "
+      "FROM b GROUP BY bin, lo, hi")(
+    lambda spark, d: P.equal_width_histogram(Ctx(spark, d).raw_d1(), "weekly_order_cnt", 1000)
+    .withColumn("lower", r6("lower")).withColumn("upper", r6("upper")))
+
+query("conditional_counts",
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)}\n"
+      "SELECT count_if(lable_x = 1) AS n_positive, count_if(click_num_x <= 7) AS n_low_click, "
+      "count_if(lable_x = 0) AS n_negative, "
+      "count_if(coalesce(category_second, 'Unknown') = 'Unknown') AS n_unknown_category FROM labelled")(
+    lambda spark, d: P.conditional_counts(
+        EN.fill_unknown(Ctx(spark, d).labelled(), ["category_second"]),
+        {"n_positive": F.col("lable_x") == 1, "n_low_click": F.col("click_num_x") <= 7,
+         "n_negative": F.col("lable_x") == 0,
+         "n_unknown_category": F.col("category_second") == "Unknown"}))
+
+query("step_counts",
+      f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)}\n"
+      "SELECT 0 AS step_no, 'input' AS step, count(*) AS rows FROM raw UNION ALL "
+      "SELECT 1, 'distinct', count(*) FROM raw_distinct UNION ALL "
+      "SELECT 2, 'non_null_category', count(*) FROM raw_nn UNION ALL "
+      "SELECT 3, 'one_per_title', count(*) FROM raw_first UNION ALL "
+      "SELECT 4, 'not_single_buy', count(*) FROM raw_first WHERE buy_num_x IS DISTINCT FROM 1 UNION ALL "
+      "SELECT 5, 'labelled', count(*) FROM labelled")(
+    lambda spark, d: C.step_counts(Ctx(spark, d).raw(), order=PR.DEDUP_ORDER))
+
+query("class_balance",
+      CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT CASE WHEN ds <= '{TR.CUT}' THEN 'train' ELSE 'test' END "
+      "AS split, count(*) AS rows, count_if(lable_x = 1) AS positives, count_if(lable_x = 0) AS negatives, "
+      "round(CAST(count_if(lable_x = 1) AS DOUBLE) / count(*), 6) AS positive_share FROM train_all GROUP BY 1")(
+    lambda spark, d: P.class_balance(SP.time_split(_train_all(Ctx(spark, d)), TR.CUT), by=["split"])
+    .withColumn("positive_share", r6("positive_share")))
+
+query("class_weight",
+      TRAIN_SQL + ", c AS (SELECT lable_x AS label, count(*) AS rows FROM tr GROUP BY lable_x), "
+      "t AS (SELECT sum(rows) FILTER (WHERE label = 1) AS p, sum(rows) FILTER (WHERE label = 0) AS n FROM c) "
+      "SELECT label, rows, round(CASE WHEN label = 1 AND p < n THEN n / p "
+      "WHEN label = 0 AND n < p THEN p / n ELSE 1.0 END, 6) AS weight FROM c, t")(
+    lambda spark, d: MD.class_weights(_split(Ctx(spark, d))[0]).withColumn("weight", r6("weight")))
+
+# --- schema operators ---------------------------------------------------------
+
+STAT_KEPT = [n for c, _ in M.STAT_COLUMNS for n in
+             [f"{c}_{f}" for f, _ in J.STAT_FIELDS] if n not in M.STAT_DROP]
+
+query("drop_strict", f"WITH {O.RAW_BASE} SELECT * EXCLUDE ({', '.join(STAT_KEPT)}) FROM raw")(
+    lambda spark, d: CO.drop_strict(Ctx(spark, d).raw(), STAT_KEPT))
+
+query("drop_tolerant",
+      CLEAN_SQL + f"\nSELECT * EXCLUDE ({', '.join(c for c in MD.EXCLUDED if c in ('title_x', 'pricejson_update_time', 'lable_x', 'click_num_x', 'buy_num_x', 'obj_scenario', 'time_scenario', 'dep_scenario', 'subj_scenario', 'brand_quality', 'category', 'ici_card', 'ici'))}) FROM clean")(
+    lambda spark, d: CO.drop_tolerant(Ctx(spark, d).clean(), MD.EXCLUDED))
+
+query("select_ordered",
+      CLEAN_SQL + f"\nSELECT {', '.join(SP.SAMPLE_COLUMNS)} FROM clean")(
+    lambda spark, d: CO.select_ordered(Ctx(spark, d).clean(), SP.SAMPLE_COLUMNS))
+
+query("column_coverage",
+      f"WITH {O.RAW_BASE}, l AS (" + " UNION ALL ".join(
+          f"SELECT '{c}' AS \"column\", count({c}) AS non_null_left FROM raw_d1"
+          for c in ["ds", "title_x", "buy_num_x", "click_num_x"] + O.D1_COLS)
+      + "), r AS (" + " UNION ALL ".join(
+          f"SELECT '{c}' AS \"column\", count({O.qi(c)}) AS non_null_right FROM dua_src"
+          for c in ["ds", "item_title", "title", "buy_num", "click_num", "coupons_share_url", "goods_id",
+                    "item_id", "update", "row_num", "item_id_temp"] + O.D1_COLS)
+      + ") SELECT coalesce(l.\"column\", r.\"column\") AS \"column\", l.non_null_left IS NOT NULL AS in_left, "
+      "r.non_null_right IS NOT NULL AS in_right, l.non_null_left, r.non_null_right "
+      "FROM l FULL JOIN r ON l.\"column\" = r.\"column\"")(
+    lambda spark, d: CO.column_coverage(Ctx(spark, d).raw_d1(), Ctx(spark, d).src("dua_src")))
+
+# --- encoding -----------------------------------------------------------------
+
+query("replace_sentinel",
+      CLEAN_SQL + "\nSELECT ds, title_x, lable_x, " + ", ".join(
+          f"coalesce({c}, 'Unknown') AS {c}" for c in EN.TOKEN_COLUMNS) + " FROM clean")(
+    lambda spark, d: EN.replace_sentinel(Ctx(spark, d).clean())
+    .select("ds", "title_x", "lable_x", *EN.TOKEN_COLUMNS))
+
+query("fill_unknown",
+      CLEAN_SQL + "\nSELECT ds, title_x, " + ", ".join(
+          f"coalesce({c}, 'Unknown') AS {c}" for c in EN.FILL_BEFORE_ENCODE_SCORE) + " FROM clean")(
+    lambda spark, d: EN.fill_unknown(Ctx(spark, d).clean(), EN.FILL_BEFORE_ENCODE_SCORE)
+    .select("ds", "title_x", *EN.FILL_BEFORE_ENCODE_SCORE))
+
+query("ordinal_vocab", TRAIN_SQL + "\nSELECT \"column\", value, code FROM vocab")(
+    lambda spark, d: _encoded(Ctx(spark, d))[2])
+
+ENC_VIEW = ["ds", "title_x", "lable_x"] + EN.FIT_COLUMNS
+
+
+def _encode_all(spark, d):
+    tr, te, _ = _encoded(Ctx(spark, d))
+    return tr.unionByName(te).select(*ENC_VIEW)
+
+
+query("ordinal_encode", TRAIN_SQL + "\n" + O.encoded_select("filled"))(_encode_all)
+
+query("ordinal_encode_shared",
+      TRAIN_SQL + ", enc AS (" + O.encoded_select("filled") + ") "
+      "SELECT ds, title_x, category_first, category_second FROM enc")(
+    lambda spark, d: _encode_all(spark, d).select("ds", "title_x", "category_first",
+                                                  "category_second"))
+
+# --- sampling and splits ------------------------------------------------------
+
+query("balanced_sample",
+      CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT {', '.join(SP.SAMPLE_COLUMNS)} FROM (SELECT *, "
+      f"row_number() OVER (PARTITION BY lable_x ORDER BY {', '.join(SP.SAMPLE_COLUMNS)}) AS rn "
+      f"FROM train_all WHERE {' AND '.join(c + ' IS NOT NULL' for c in SP.SAMPLE_COLUMNS)}) "
+      "WHERE rn <= 1000")(
+    lambda spark, d: SP.balanced_sample(_train_all(Ctx(spark, d)), 1000))
+
+query("time_split",
+      CLEAN_SQL + f"\nSELECT ds, title_x, lable_x, CASE WHEN ds <= '{TR.CUT}' THEN 'train' "
+      "ELSE 'test' END AS split FROM clean")(
+    lambda spark, d: SP.time_split(Ctx(spark, d).clean(), TR.CUT).select("ds", "title_x", "lable_x",
+                                                                         "split"))
+
+query("hash_split")(
+    lambda spark, d: SP.hash_split(Ctx(spark, d).clean(), "title_x")
+    .groupBy("split").agg(F.count(F.lit(1)).alias("rows")))
+
+query("shuffle_rows")(
+    lambda spark, d: SP.shuffle_rows(Ctx(spark, d).clean().select("ds", "title_x", "lable_x")))
+
+# --- evaluation on event scores -------------------------------------------------
+
+EVAL = f"WITH {O.EVENT_SCORES}, g AS (SELECT score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scored GROUP BY score)"
+
+query("auc_exact",
+      EVAL + ", r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+      "AND 1 PRECEDING), 0) AS neg_below FROM g) SELECT round(sum(pos * (neg_below + 0.5 * neg)) / "
+      "(sum(pos) * sum(neg)), 6) AS auc FROM r")(
+    lambda spark, d: EV.auc(event_scores(spark, d)).withColumn("auc", r6("auc")))
+
+query("log_loss",
+      f"WITH {O.EVENT_SCORES}, c AS (SELECT label, least(greatest(score, {EV.LOGLOSS_EPS!r}), "
+      f"1 - {EV.LOGLOSS_EPS!r}) AS p FROM scored) SELECT round(avg(-(label * ln(p) + (1 - label) * "
+      "ln(1 - p))), 6) AS log_loss FROM c")(
+    lambda spark, d: EV.log_loss(event_scores(spark, d)).withColumn("log_loss", r6("log_loss")))
+
+THRESH = "thresholds AS (SELECT unnest([" + ", ".join(repr(t) for t in EV.THRESHOLDS) + "]::DOUBLE[]) AS threshold)"
+CONF = (EVAL + ", " + THRESH + ", c AS (SELECT t.threshold, "
+        "CAST(sum(CASE WHEN g.score > t.threshold THEN g.pos ELSE 0 END) AS BIGINT) AS tp, "
+        "CAST(sum(CASE WHEN g.score > t.threshold THEN g.neg ELSE 0 END) AS BIGINT) AS fp, "
+        "CAST(sum(g.pos) AS BIGINT) AS P, CAST(sum(g.neg) AS BIGINT) AS N FROM thresholds t, g GROUP BY t.threshold), "
+        "cc AS (SELECT threshold, tp, fp, P - tp AS fn, N - fp AS tn FROM c)")
+
+
+def _ratio(a, b):
+    return f"round(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END, 6)"
+
+
+query("binary_metrics",
+      CONF.replace("unnest([" + ", ".join(repr(t) for t in EV.THRESHOLDS) + "]", "unnest([0.5]")
+      + f" SELECT threshold, {_ratio('tp', 'tp + fp')} AS precision, {_ratio('tp', 'tp + fn')} AS recall, "
+      f"{_ratio('2 * tp', '2 * tp + fp + fn')} AS f1, {_ratio('tp + tn', 'tp + fp + fn + tn')} AS accuracy FROM cc")(
+    lambda spark, d: EV.binary_metrics(event_scores(spark, d))
+    .select("threshold", *[r6(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")]))
+
+SWEEP_SQL = (CONF + " SELECT threshold, 1 AS class, tp, fp, "
+             f"{_ratio('tp', 'tp + fp')} AS precision, {_ratio('tp', 'tp + fn')} AS recall, "
+             f"{_ratio('2 * tp', '2 * tp + fp + fn')} AS f1, tp + fn AS support FROM cc UNION ALL "
+             "SELECT threshold, 0, tn, fn, "
+             f"{_ratio('tn', 'tn + fn')}, {_ratio('tn', 'tn + fp')}, "
+             f"{_ratio('2 * tn', '2 * tn + fn + fp')}, tn + fp FROM cc")
+
+query("threshold_sweep", SWEEP_SQL)(
+    lambda spark, d: EV.threshold_sweep(event_scores(spark, d))
+    .select("threshold", "class", "tp", "fp", *[r6(c).alias(c) for c in ("precision", "recall", "f1")],
+            "support"))
+
+query("classification_report",
+      CONF + ", s AS (SELECT threshold, "
+      "CASE WHEN tn + fn = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / (tn + fn) END AS p0, "
+      "CASE WHEN tn + fp = 0 THEN 0.0 ELSE CAST(tn AS DOUBLE) / (tn + fp) END AS r0, "
+      "CASE WHEN 2 * tn + fn + fp = 0 THEN 0.0 ELSE 2.0 * tn / (2 * tn + fn + fp) END AS f0, tn + fp AS s0, "
+      "CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS p1, "
+      "CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS r1, "
+      "CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1, tp + fn AS s1, "
+      "tp + tn AS ok, tp + fp + fn + tn AS n FROM cc) "
+      "SELECT threshold, '0' AS row, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1, s0 AS support FROM s UNION ALL "
+      "SELECT threshold, '1', round(p1, 6), round(r1, 6), round(f1, 6), s1 FROM s UNION ALL "
+      "SELECT threshold, 'accuracy', NULL, NULL, round(CAST(ok AS DOUBLE) / n, 6), n FROM s UNION ALL "
+      "SELECT threshold, 'macro avg', round((p0 + p1) / 2.0, 6), round((r0 + r1) / 2.0, 6), round((f0 + f1) / 2.0, 6), n FROM s UNION ALL "
+      "SELECT threshold, 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6), "
+      "round((f0 * s0 + f1 * s1) / n, 6), n FROM s")(
+    lambda spark, d: EV.classification_report(event_scores(spark, d))
+    .select("threshold", "row", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support"))
+
+query("roc_curve",
+      EVAL + ", r AS (SELECT score, pos, neg, sum(pos) OVER w AS tps, sum(neg) OVER w AS fps, "
+      "row_number() OVER w - 1 AS i, lead(pos) OVER w AS np, lead(neg) OVER w AS nn FROM g "
+      "WINDOW w AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)), "
+      "pts AS (SELECT score, CAST(tps AS BIGINT) AS tps, CAST(fps AS BIGINT) AS fps FROM r "
+      "WHERE i = 0 OR np IS NULL OR np <> pos OR nn <> neg UNION ALL SELECT 'inf'::DOUBLE, 0, 0), "
+      "t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g) "
+      "SELECT score AS threshold, round(fps / N, 6) AS fpr, round(tps / P, 6) AS tpr, tps, fps FROM pts, t")(
+    lambda spark, d: EV.roc_curve(event_scores(spark, d))
+    .withColumn("fpr", r6("fpr")).withColumn("tpr", r6("tpr")))
+
+query("score_density",
+      f"WITH {O.EVENT_SCORES}, st AS (SELECT label, count(*) AS n, stddev_samp(score) AS sd, "
+      "min(score) AS lo, max(score) AS hi FROM scored GROUP BY label), "
+      "st2 AS (SELECT *, sd * pow(n, -0.2) AS bw FROM st), "
+      f"st3 AS (SELECT *, lo - {EV.DENSITY_CUT!r} * bw AS g0, (hi - lo + {2 * EV.DENSITY_CUT!r} * bw) / "
+      f"{EV.DENSITY_GRID - 1} AS step FROM st2), "
+      "cnt AS (SELECT label, score AS s, count(*) AS c FROM scored GROUP BY label, score), "
+      f"grid AS (SELECT label, n, bw, i AS point, g0 + i * step AS x FROM st3, range({EV.DENSITY_GRID}) t(i)) "
+      "SELECT g.label, CAST(g.point AS INTEGER) AS point, round(g.x, 6) AS x, "
+      "round(sum(c.c * exp(-0.5 * ((g.x - c.s) / g.bw) * ((g.x - c.s) / g.bw))) / "
+      "(g.n * g.bw * sqrt(2 * pi())), 6) AS density FROM grid g JOIN cnt c ON g.label = c.label "
+      "GROUP BY g.label, g.point, g.x, g.n, g.bw")(
+    lambda spark, d: EV.score_density(event_scores(spark, d))
+    .select("label", "point", r6("x").alias("x"), r6("density").alias("density")))

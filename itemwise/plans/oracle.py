@@ -181,3 +181,35 @@ EVENT_SCORES = """scored AS (
   SELECT CAST(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS INTEGER) AS label,
          value / (value + 50.0) AS score
   FROM events)"""
+
+
+def quote_list(cols: list[str]) -> str:
+    return ", ".join(cols)
+
+
+def train_ctes(cut: str = "1998") -> str:
+    from itemwise.operators.encode import FILL_BEFORE_ENCODE_TRAIN, FIT_COLUMNS, TOKEN_COLUMNS
+    repl = ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in TOKEN_COLUMNS)
+    pairs = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM tr" for c in FIT_COLUMNS)
+    fill = ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in FILL_BEFORE_ENCODE_TRAIN)
+    return f"""{clean_ctes('a')},
+{CONFLICTS},
+tight AS (SELECT * FROM train_all WHERE lable_x IS DISTINCT FROM 0 OR weekly_order_cnt < 4),
+repl AS (SELECT * REPLACE ({repl}) FROM tight),
+tr AS (SELECT * FROM repl WHERE ds <= '{cut}'),
+vocab AS (
+  SELECT "column", value, dense_rank() OVER (PARTITION BY "column" ORDER BY value) - 1 AS code
+  FROM (SELECT DISTINCT "column", value FROM ({pairs}) WHERE value IS NOT NULL)),
+filled AS (SELECT * REPLACE ({fill}) FROM repl)"""
+
+
+def encoded_select(src: str = "filled") -> str:
+    from itemwise.operators.encode import FIT_COLUMNS, SHARED_VOCAB
+    cols, joins = [], []
+    for i, c in enumerate(FIT_COLUMNS):
+        v = SHARED_VOCAB.get(c, c)
+        cols.append(f"coalesce(CAST(v{i}.code AS DOUBLE), -1.0) AS {c}")
+        joins.append(f"LEFT JOIN vocab v{i} ON v{i}.\"column\" = '{v}' AND v{i}.value = f.{c}")
+    return (f"SELECT f.ds, f.title_x, f.lable_x, {', '.join(cols)} FROM {src} f "
+            + " ".join(joins))
