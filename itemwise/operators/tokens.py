@@ -128,14 +128,19 @@ def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], keys: Sequence[s
     wide = wide.select(*[col(x) for x in gk],
                        *[F.transform(F.slice(col(c), 1, k), lambda s: s.getField("t"))
                          .alias(f"__top_{i}") for i, (c, k) in enumerate(specs)])
-    joined = merge(df, wide, on=gk, how="left")
+    # Carry the split arrays as columns through the join so the output
+    # expressions below reference attributes, not repeated splits.
+    base = df.withColumns({f"__a{i}": arrays[c] for i, (c, _) in enumerate(specs)})
+    joined = merge(base, wide, on=gk, how="left")
     outs = {}
     for i, (c, k) in enumerate(specs):
-        arr = arrays[c]
-        chosen = F.when(F.size(arr) > k, F.col(f"__top_{i}")).otherwise(arr)
+        arr = F.col(f"__a{i}")
+        # __top_i is set exactly for the lists longer than k.
+        chosen = F.coalesce(F.col(f"__top_{i}"), arr)
         outs[out_fmt.format(c)] = F.when(arr.isNull(), F.array_repeat(F.lit(pad).cast("string"), k)) \
                                    .otherwise(_pad(chosen, k, pad))
-    return joined.withColumns(outs).drop(*[f"__top_{i}" for i in range(len(specs))])
+    return joined.withColumns(outs).drop(*[f"__top_{i}" for i in range(len(specs))],
+                                         *[f"__a{i}" for i in range(len(specs))])
 
 
 def topk_tokens(df: DataFrame, column: str, k: int, keys: Sequence[str],

@@ -632,3 +632,103 @@ query("score_density",
       "GROUP BY g.label, g.point, g.x, g.n, g.bw")(
     lambda spark, d: EV.score_density(event_scores(spark, d))
     .select("label", "point", r6("x").alias("x"), r6("density").alias("density")))
+
+# --- sources and sinks (written under the shared checkpoint folder) -------------
+
+from itemwise import schemas as SC  # noqa: E402
+
+
+def _written_days(spark, d):
+    """LABEL written as one folder per day with parquet files and a stray
+    non-parquet file, as the daily export folders look."""
+    root = scratch_path(spark, "dated")
+    (Ctx(spark, d).src("label_src").repartition(4, "ds").write.mode("overwrite")
+     .partitionBy("ds").parquet(root))
+    spark.createDataFrame([("marker",)], "value string").coalesce(1).write.mode("overwrite") \
+        .text(f"{root}/ds=1995/_notes")
+    return root
+
+
+query("scan_dated_source", f"WITH {O.RAW_BASE} SELECT title, buy_num, click_num, ds FROM label_src")(
+    lambda spark, d: DT.scan_dated(spark, _written_days(spark, d), "ds=", SC.LABEL))
+
+query("scan_dated_days",
+      f"WITH {O.RAW_BASE} SELECT title, buy_num, click_num, ds FROM label_src WHERE ds IN ('1996', '1999')")(
+    lambda spark, d: DT.scan_dated(spark, _written_days(spark, d), "ds=", SC.LABEL, ["1996", "1999"]))
+
+
+def _union_by_name(spark, d):
+    lab = Ctx(spark, d).src("label_src")
+    early = lab.where(F.col("ds") <= "1997")
+    late = lab.where(F.col("ds") > "1997").drop("click_num").withColumn("extra", F.lit("x"))
+    return DT.union_by_name([early, late])
+
+
+query("union_by_name",
+      f"WITH {O.RAW_BASE} SELECT ds, title, buy_num, CASE WHEN ds <= '1997' THEN click_num END AS click_num, "
+      "CASE WHEN ds > '1997' THEN 'x' END AS extra FROM label_src")(_union_by_name)
+
+
+def _csv_roundtrip(spark, d):
+    path = scratch_path(spark, "ssr-csv")
+    FI.write_csv(Ctx(spark, d).src("ssr_src"), path)
+    return FI.read_csv_dimension(spark, path, SC.SSR)
+
+
+query("csv_dimension_scan", f"WITH {O.RAW_BASE} SELECT * FROM ssr_src")(_csv_roundtrip)
+
+
+def _stage_roundtrip(spark, d):
+    path = scratch_path(spark, "stage-clean")
+    FI.write_stage(Ctx(spark, d).clean(), path)
+    return FI.read_stage(spark, path).select(*EXPAND_VIEW)
+
+
+query("stage_roundtrip", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FROM clean")(_stage_roundtrip)
+
+
+def _union_days(spark, d):
+    path = scratch_path(spark, "stage-days")
+    FI.write_stage(Ctx(spark, d).clean(), path)
+    days = DT.union_days(FI.read_stage(spark, path), ["1996", "1997", "2003"])
+    return P.label_distribution(days).withColumnRenamed("rows", "rows")
+
+
+query("union_days",
+      CLEAN_SQL + "\nSELECT lable_x, count(*) AS rows FROM clean WHERE ds IN ('1996', '1997') GROUP BY lable_x")(
+    _union_days)
+
+
+def _export_sample(spark, d):
+    path = scratch_path(spark, "sample-csv")
+    sample = SP.shuffle_rows(SP.balanced_sample(_train_all(Ctx(spark, d)), 1000))
+    FI.write_csv(sample, path, single_file=True)
+    return spark.read.options(**FI.CSV_OPTIONS).csv(path)
+
+
+query("export_sample")(_export_sample)
+
+# --- model ----------------------------------------------------------------------
+
+
+def _scored(spark, d):
+    ctx = Ctx(spark, d)
+    return TR.scored_test(_model(ctx), _encoded(ctx)[1])
+
+
+query("train_gbt")(lambda spark, d: MD.feature_importance(_model(Ctx(spark, d)), top=None))
+query("feature_importance")(lambda spark, d: MD.feature_importance(_model(Ctx(spark, d)), top=20))
+query("batch_score")(_scored)
+query("train_history")(
+    lambda spark, d: MD.train_history(_model(Ctx(spark, d)), _encoded(Ctx(spark, d))[1]))
+query("model_auc")(lambda spark, d: EV.auc(_scored(spark, d)))
+
+
+def _model_roundtrip(spark, d):
+    ctx = Ctx(spark, d)
+    path = scratch_path(spark, "model")
+    MD.save_model(_model(ctx), path)
+    return TR.scored_test(MD.load_model(path), _encoded(ctx)[1])
+
+
+query("model_roundtrip")(_model_roundtrip)
