@@ -61,10 +61,14 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str],
 
 def clean_items(df: DataFrame, title: str = "title_x", category: str = "category_name",
                 ds: str | None = "ds", order: Sequence[tuple[str, bool]] | None = None) -> DataFrame:
-    """distinct -> non-null category -> one row per title (per day)."""
+    """distinct -> non-null category -> one row per title (per day).
+
+    The first row per title is chosen by a total order over all columns, so
+    exact duplicates are identical candidates and the whole-row distinct
+    cannot change the result; it is therefore not run as its own shuffle
+    (``step_counts`` still reports it)."""
     keys = ([ds] if ds and ds in df.columns else []) + [title]
-    out = drop_null_key(distinct_rows(df), [category])
-    return dedup_keep_first(out, keys, order)
+    return dedup_keep_first(drop_null_key(df, [category]), keys, order)
 
 
 def label_items(df: DataFrame, rule: str = "a", label: str = "lable_x",

@@ -732,3 +732,19 @@ def _model_roundtrip(spark, d):
 
 
 query("model_roundtrip")(_model_roundtrip)
+
+# --- streaming day loop ---------------------------------------------------------
+
+
+def _streamed_clean(spark, d):
+    from itemwise.streaming.daily import run_daily_clean
+    ctx = Ctx(spark, d)
+    raw_stage, clean_stage = scratch_path(spark, "raw-stage"), scratch_path(spark, "clean-stage")
+    FI.write_stage(ctx.raw(), raw_stage)
+    run_daily_clean(spark, raw_stage, clean_stage, ctx.src("category_feature_src"),
+                    scratch_path(spark, "stream-ckpt"))
+    return FI.read_stage(spark, clean_stage).select(*EXPAND_VIEW)
+
+
+query("streaming_daily_clean", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FROM clean")(
+    _streamed_clean)

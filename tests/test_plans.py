@@ -58,3 +58,9 @@ def test_vocab_codes_dense(spark):
     v = CT.QUERIES["ordinal_vocab"](spark, SF)
     for col, codes in v.groupBy("column").agg(F.collect_list("code").alias("c")).collect():
         assert sorted(codes) == list(range(len(codes)))
+
+
+def test_stream_matches_batch(spark):
+    streamed = CT.QUERIES["streaming_daily_clean"](spark, SF)
+    batch = CT.QUERIES["expand_tokens"](spark, SF)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
