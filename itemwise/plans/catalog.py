@@ -501,8 +501,13 @@ query("fill_unknown",
     lambda spark, d: EN.fill_unknown(Ctx(spark, d).clean(), EN.FILL_BEFORE_ENCODE_SCORE)
     .select("ds", "title_x", *EN.FILL_BEFORE_ENCODE_SCORE))
 
-query("ordinal_vocab", TRAIN_SQL + "\nSELECT \"column\", value, code FROM vocab")(
-    lambda spark, d: _encoded(Ctx(spark, d))[2])
+def _vocab_roundtrip(spark, d):
+    path = scratch_path(spark, "vocab")
+    FI.save_vocab(_encoded(Ctx(spark, d))[2], path)
+    return FI.load_vocab(spark, path)
+
+
+query("ordinal_vocab", TRAIN_SQL + "\nSELECT \"column\", value, code FROM vocab")(_vocab_roundtrip)
 
 ENC_VIEW = ["ds", "title_x", "lable_x"] + EN.FIT_COLUMNS
 
@@ -748,3 +753,8 @@ def _streamed_clean(spark, d):
 
 query("streaming_daily_clean", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FROM clean")(
     _streamed_clean)
+
+
+query("drop_by_pattern",
+      f"WITH {O.RAW_BASE} SELECT * EXCLUDE ({', '.join(c for c in STAT_KEPT if c.endswith('_count_') or 'raw_' in c)}) FROM raw")(
+    lambda spark, d: CO.drop_matching(Ctx(spark, d).raw(), suffixes=["_count_"], contains=["raw_"]))
