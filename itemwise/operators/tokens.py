@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.operators.columns import col, drop_strict
@@ -117,21 +117,35 @@ def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], keys: Sequence[s
     freq = tokens.groupBy(*[col(g) for g in group], "list", "token").agg(F.count(F.lit(1)).alias("n"))
     if max_map_tokens > 0 and has_at_most(freq, max_map_tokens):
         freq = F.broadcast(freq)
+    # Rank the tokens of each long list by (-frequency, position) and keep
+    # k.  All tokens of a list come from one input row, hence one task, and
+    # ``row_number() <= k`` is planned with a partial group limit before
+    # the shuffle: only k tokens per list are shuffled.
+    k_of = F.lit(specs[0][1])
+    for c, k in specs[1:]:
+        k_of = F.when(F.col("list") == c, F.lit(k)).otherwise(k_of)
+    w = Window.partitionBy(*[col(x) for x in gk], "list").orderBy(
+        F.desc_nulls_last("n"), F.asc("pos"))
     ranked = (tokens.where("long")
               .join(freq, group + ["list", "token"], "left")
+              .withColumn("__rn", F.row_number().over(w))
+              .where(F.col("__rn") <= k_of)
               .groupBy(*[col(x) for x in gk], "list")
-              .agg(F.array_sort(F.collect_list(
-                  F.struct((-F.coalesce(F.col("n"), F.lit(0))).alias("w"),
-                           F.col("pos").alias("p"), F.col("token").alias("t")))).alias("r")))
-    wide = ranked.groupBy(*[col(x) for x in gk]).pivot("list", [c for c, _ in specs]).agg(
-        F.first("r"))
-    wide = wide.select(*[col(x) for x in gk],
-                       *[F.transform(F.slice(col(c), 1, k), lambda s: s.getField("t"))
-                         .alias(f"__top_{i}") for i, (c, k) in enumerate(specs)])
-    # Carry the split arrays as columns through the join so the output
-    # expressions below reference attributes, not repeated splits.
-    base = df.withColumns({f"__a{i}": arrays[c] for i, (c, _) in enumerate(specs)})
-    joined = merge(base, wide, on=gk, how="left")
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("__rn").alias("r"),
+                                                        F.col("token").alias("t")))).alias("top"))
+              .select(*[col(x) for x in gk], "list",
+                      F.transform("top", lambda e: e.getField("t")).alias("top")))
+    if len(specs) == 1:
+        wide = ranked.select(*[col(x) for x in gk], F.col("top").alias("__top_0"))
+    else:
+        wide = ranked.groupBy(*[col(x) for x in gk]).pivot("list", [c for c, _ in specs]) \
+                     .agg(F.first("top"))
+        wide = wide.select(*[col(x) for x in gk],
+                           *[col(c).alias(f"__top_{i}") for i, (c, _) in enumerate(specs)])
+    joined = merge(df, wide, on=gk, how="left")
+    # Split again after the join (cheaper than shuffling the token arrays);
+    # the outputs then reference these columns rather than repeated splits.
+    joined = joined.withColumns({f"__a{i}": split_tokens(c, delim) for i, (c, _) in enumerate(specs)})
     outs = {}
     for i, (c, k) in enumerate(specs):
         arr = F.col(f"__a{i}")
