@@ -53,6 +53,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Colum
                               for k in sums])
     local_end = Window.unboundedPreceding, (Window.currentRow if inclusive else -1)
     w = Window.partitionBy(*group, "__pid").orderBy(*order).rowsBetween(*local_end)
+    # offsets has one row per (group, range): bounded by the range count
+    # times the number of groups, never by the data size.
     out = part.join(F.broadcast(offsets), group + ["__pid"], "left")
     for k in sums:
         out = out.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(w), F.lit(0)))

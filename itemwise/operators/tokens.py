@@ -37,8 +37,11 @@ DELIMITER = ";"
 # Pads are null inside the pipeline: a real token may be the text "-1".
 PAD = None
 
-# Row bound under which the token frequency table is broadcast.
-MAP_PLAN_MAX_TOKENS = 2_000_000
+# Explicit row bound under which the token frequency table is broadcast.
+# 0 = no pre-check job: the vocabulary grows with the data, so the join is
+# left to the planner and AQE, which broadcasts at run time from the
+# measured size of the frequency table when it is small.
+MAP_PLAN_MAX_TOKENS = 0
 
 _REGEX_META = set(".$|()[]{}^?*+\\")
 

@@ -311,9 +311,9 @@ query("topk_tokens_6", O.docs_topk(6, TOP6))(
 query("topk_tokens_2", O.docs_topk(2, TOP2))(
     lambda spark, d: TK.expand_list(_docs(spark, d), "text", 2, TOP2, ["doc_id"], ["lang"], " "))
 
-query("topk_tokens_shuffle_plan", O.docs_topk(6, TOP6))(
+query("topk_tokens_broadcast_plan", O.docs_topk(6, TOP6))(
     lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["doc_id"], ["lang"], " ",
-                                    max_map_tokens=0))
+                                    max_map_tokens=2_000_000))
 
 query("split_length_histogram",
       "SELECT len(string_split(text, ' ')) AS n_tokens, count(*) AS rows FROM documents "

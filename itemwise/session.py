@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Intermediate checkpoints are deleted once nothing references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
