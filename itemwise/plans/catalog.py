@@ -758,3 +758,19 @@ query("streaming_daily_clean", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} F
 query("drop_by_pattern",
       f"WITH {O.RAW_BASE} SELECT * EXCLUDE ({', '.join(c for c in STAT_KEPT if c.endswith('_count_') or 'raw_' in c)}) FROM raw")(
     lambda spark, d: CO.drop_matching(Ctx(spark, d).raw(), suffixes=["_count_"], contains=["raw_"]))
+
+
+def _score_later_days(spark, d):
+    """Save model and vocabulary, load both, score the test days as step 3
+    does, and report the threshold sweep of those scores."""
+    ctx = Ctx(spark, d)
+    mpath, vpath = scratch_path(spark, "model"), scratch_path(spark, "vocab")
+    MD.save_model(_model(ctx), mpath)
+    FI.save_vocab(_encoded(ctx)[2], vpath)
+    test_days = TR.split_days(_train_all(ctx))[1]
+    scores = TR.score_days(MD.load_model(mpath), FI.load_vocab(spark, vpath), test_days,
+                           ctx.src("blacklist_src"), STAT_KEPT)
+    return EV.threshold_sweep(scores)
+
+
+query("score_later_days")(_score_later_days)
