@@ -159,3 +159,20 @@ def test_dedup_keeps_first_by_order_under_skew(spark):
 def test_label_rules_as_columns(spark):
     df = spark.createDataFrame([(2, 10, 0)], "buy_num_x long, click_num_x long, weekly_order_cnt long")
     assert df.select(L.label_rule_a()).first()[0] == 1
+
+
+def test_union_days_reports_and_raises(spark, capsys):
+    from itemwise.sources.dated import union_days
+    stage = spark.createDataFrame([("1", 1), ("2", 2)], "ds string, v int")
+    assert union_days(stage, ["1", "9"]).count() == 1
+    assert "9" in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        union_days(stage, ["7"])
+
+
+def test_hash_split_is_stable_under_repartitioning(spark):
+    from itemwise.operators.sample import hash_split
+    df = spark.createDataFrame([(f"t{i}",) for i in range(400)], "k string")
+    a = {r.k: r.split for r in hash_split(df, "k").collect()}
+    b = {r.k: r.split for r in hash_split(df.repartition(7), "k").collect()}
+    assert a == b and set(a.values()) == {"train", "test"}
