@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -52,31 +53,47 @@ def get_spark(master: str | None = None, app: str = "itemwise",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value always wins.  Only when nothing is configured (unit
-    tests, a laptop) a private folder is created and registered, so that
-    ``DataFrame.checkpoint()`` and stage writes have somewhere to go.
+    The cluster's value always wins.  Only in local mode, where driver and
+    tasks share one machine, may it be unset: then a private folder is made
+    and registered.  On any other master an unset folder is an error, since
+    executors could not see a folder of the driver's machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = context.getCheckpointDir()
     if not root:
+        master = context.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="itemwise-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = f"{root}/itemwise/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
+    """A fresh, unique path below the shared checkpoint folder (its scheme,
+    such as ``hdfs://`` or ``file://``, is kept)."""
+    return f"{checkpoint_root(spark)}/itemwise/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet below the shared checkpoint folder and
+    read it back: lineage is cut, a lost executor costs nothing, and readers
+    still prune columns and push filters down."""
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of finished phases now instead
+    of at the driver's next full collection; nothing else depends on it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
