@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.llm import recompress
+from itemwise.llm import recompress, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op4_suffix_array")
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix.suffix_dedup(table(spark, sf_dir, "documents"), width=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_recompression", rf"""
 WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(len(w) - 19)) AS p, w FROM d),
