@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,8 +93,10 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished phases now instead
     of at the driver's next full collection; nothing else depends on it."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first pass only lets go of plans that hold shuffles
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
