@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.llm import recompress, suffix
+from itemwise.llm import minhash, pieces, recompress, suffix, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,15 +30,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's file, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op1_minhash", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(greatest(len(w) - 4, least(len(w), 1)))) AS p, w FROM d),
+sh AS (SELECT doc_id, array_to_string(w[p + 1:p + 5], ' ') AS g, count(*) AS c FROM win GROUP BY ALL),
+size AS (SELECT doc_id, sum(c) AS n FROM sh GROUP BY doc_id),
+meet AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.c, b.c)) AS common
+         FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM meet JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+          WHERE 10 * common >= 8 * (x.n + y.n - common)),
+reach AS (SELECT doc_id, doc_id AS root FROM d UNION
+          SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.doc_id),
+class AS (SELECT doc_id, min(root) AS class_id FROM reach GROUP BY doc_id)
+SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS members, doc_id = class_id AS kept
+FROM class""")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), similarity=0.8)
+    return found.select("doc_id", "class_id", "members", "kept")
+
+
+@query("op3_pieces")
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = pieces.decode(pieces.sample_encode(docs, model, key="doc_id", alpha=1.0, seed=7), model)
+    return read.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"),
+                       F.xxhash64("pieces").alias("pieces_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
 @query("op4_suffix_array")
 def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix.suffix_dedup(table(spark, sf_dir, "documents"), width=400)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op5_wavelet")
+def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = wavelet.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return wavelet.read_documents(manifest)
+
+
 @query("op9_recompression", rf"""
 WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(len(w) - 19)) AS p, w FROM d),
