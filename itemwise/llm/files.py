@@ -50,3 +50,14 @@ def opened(path: str):
     """A seekable file."""
     store, inner = _store(path)
     return store.open_input_file(inner)
+
+
+def move(source: str, target: str) -> None:
+    store, a = _store(source)
+    store.move(a, _store(target)[1])
+
+
+def remove_folder(path: str) -> None:
+    store, inner = _store(path)
+    if store.get_file_info(inner).type != pafs.FileType.NotFound:
+        store.delete_dir(inner)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.llm import minhash, pieces, recompress, suffix, wavelet
+from itemwise.llm import (chat, decontaminate, minhash, pieces, quality, recompress, suffix, toxicity, warc,
+                          wavelet)
+from itemwise.session import write_scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,6 +61,69 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "members", "kept")
 
 
+_LIMITS = ", ".join(
+    f"max(CASE WHEN metric = '{m}' THEN f END) AS max_{m}" for m in quality.SLACK)
+_METRICS = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS metric, {m} AS v FROM m" for m in quality.SLACK)
+_SLACKS = " ".join(f"WHEN '{m}' THEN {s}" for m, s in quality.SLACK.items())
+
+
+def _fence_sql(name: str, source: str, keys: str) -> str:
+    own = f"{keys}, " if keys else ""
+    return f"""{name} AS (SELECT {own}metric, n, top(q3) + 3 * (top(q3) - top(q1))
+    + CASE metric {_SLACKS} END AS f FROM (SELECT {own}metric, n, min(b) FILTER (WHERE 4 * u >= n) AS q1,
+    min(b) FILTER (WHERE 4 * u >= 3 * n) AS q3 FROM (SELECT *, sum(c) OVER (PARTITION BY {own}metric) AS n,
+    sum(c) OVER (PARTITION BY {own}metric ORDER BY b) AS u FROM {source}) GROUP BY {own}metric, n))"""
+
+
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(len(w) - 7)) AS p, w FROM d),
+twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p + 1:p + 8], ' ')) AS c
+          FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, p + unnest(range(8)) AS j FROM twice) GROUP BY doc_id),
+ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup
+       FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+       WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+b AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(t, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS caps,
+        CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+        CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d LEFT JOIN ln USING (doc_id) LEFT JOIN cov USING (doc_id)),
+m AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        CAST(1000 * n_symbols // greatest(word_chars, 1) AS BIGINT) AS symbol_ratio,
+        CAST(1000 * caps // greatest(word_chars, 1) AS BIGINT) AS capital_ratio,
+        CAST(1000 * n_dup_lines // greatest(n_lines, 1) AS BIGINT) AS dup_line_ratio,
+        CAST(100 * word_chars // greatest(n_words, 1) AS BIGINT) AS word_length FROM b),
+s1 AS (SELECT lang, source, metric, b, count(*) AS c FROM (SELECT lang, source, metric,
+        CASE WHEN v < 64 THEN v ELSE (length(bin(v)) - 6) * 32 + (v >> (length(bin(v)) - 6)) END AS b
+        FROM ({_METRICS})) GROUP BY ALL),
+s2 AS (SELECT lang, metric, b, sum(c) AS c FROM s1 GROUP BY ALL),
+s3 AS (SELECT metric, b, sum(c) AS c FROM s1 GROUP BY ALL),
+{_fence_sql("f1", "s1", "lang, source")},
+{_fence_sql("f2", "s2", "lang")},
+{_fence_sql("f3", "s3", "")},
+limits AS (SELECT lang, source, {_LIMITS} FROM (SELECT f1.lang, source, f1.metric,
+        CASE WHEN f1.n >= 100 THEN f1.f WHEN f2.n >= 100 THEN f2.f ELSE f3.f END AS f
+        FROM f1 JOIN f2 ON f1.lang IS NOT DISTINCT FROM f2.lang AND f1.metric = f2.metric
+        JOIN f3 ON f1.metric = f3.metric) GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(f"{m} <= max_{m}" for m in quality.SLACK)} AS kept
+FROM m JOIN limits ON m.lang IS NOT DISTINCT FROM limits.lang AND m.source IS NOT DISTINCT FROM limits.source"""
+for _call in ("top(q3)", "top(q1)"):
+    _q = _call[4:-1]
+    OP2_SQL = OP2_SQL.replace(
+        _call, f"(CASE WHEN {_q} < 64 THEN {_q} ELSE (({_q} % 32 + 33) << CAST(({_q} >> 5) - 1 AS INTEGER)) - 1 END)")
+
+
+@query("op2_quality", OP2_SQL)
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = write_scratch(quality.measured(docs).drop("text"), "measured")
+    return quality.judged(rows).select("doc_id", *quality.BASE, "kept")
+
+
 @query("op3_pieces")
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
@@ -81,6 +146,73 @@ def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(manifest)
 
 
+@query("op6_warc", """
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN lead END AS refers_to
+FROM (SELECT *, octet_length(encode(h)) >= 1000 AND page_id <> lead AS again
+      FROM (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS lead
+            FROM pages))""")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_pages(spark, warc.write_pages(table(spark, sf_dir, "pages")))
+
+
+def _leak_sql() -> str:
+    """Seeds as strings of the wanted words; the same comparison at each hit."""
+    longest = max(map(len, decontaminate.MASKS))
+    def seeds(source: str, place: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT *, '{k}:' || " + " || ' ' || ".join(
+                f"w[{place} + {j + 1}]" for j, bit in enumerate(mask) if bit == "1")
+            + f" AS h FROM {source} WHERE {place} + {len(mask)} <= len(w)"
+            for k, mask in enumerate(decontaminate.MASKS))
+    words = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+    return f"""
+WITH i AS (SELECT item_id, {words} AS w FROM benchmark), d AS (SELECT doc_id, {words} AS w FROM documents),
+ip AS (SELECT item_id, w, unnest(range(len(w) - {longest - 1})) AS p FROM i),
+dp AS (SELECT doc_id, w, unnest(range(len(w) - {longest - 1})) AS q FROM d),
+ih AS ({seeds("ip", "p")}), dh AS ({seeds("dp", "q")}),
+hits AS (SELECT DISTINCT doc_id, item_id, q - p AS shift FROM dh JOIN ih USING (h)),
+cmp AS (SELECT doc_id, item_id, shift, i.w AS iw, d.w AS dw FROM hits JOIN d USING (doc_id) JOIN i USING (item_id)),
+eq AS (SELECT doc_id, item_id, len(iw) AS n, list_sum(list_transform(range(len(iw)), lambda j:
+       CASE WHEN j + shift >= 0 AND iw[j + 1] = dw[j + shift + 1] THEN 1 ELSE 0 END)) AS m FROM cmp)
+SELECT doc_id, item_id, CAST(max(n) AS BIGINT) AS item_words, CAST(max(m) AS BIGINT) AS matched
+FROM eq WHERE m >= ceil(least(n, 20) * 80 / 100.0) GROUP BY doc_id, item_id"""
+
+
+@query("op7_spaced_seeds", _leak_sql())
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op8_chat", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(text, '\|\[SYS\]|\[/SYS\]|\[INST\]|\[/INST\]|<s>|</s>|\[TURN\]|\[:\]|\[/TURN\]|<\|image\|>|<\|audio\|>|<\|document\|>',
+             '\\\0', 'g') AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(escaped) + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+      ELSE 16 + length(role) END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    read = chat.read_chats(chat.format_chats(turns.unionByName(extra)))
+    said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(said, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"),
+                       F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query("op9_recompression", rf"""
 WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 win AS (SELECT doc_id, unnest(range(len(w) - 19)) AS p, w FROM d),
@@ -97,3 +229,12 @@ FROM d LEFT JOIN kept USING (doc_id)""")
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = recompress.substring_dedup(table(spark, sf_dir, "documents"), width=20, rounds=2)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).where(part != 2)
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).select("doc_id", (part == 2).alias("held_out"), "score", "predicted")
