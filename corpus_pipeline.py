@@ -1,21 +1,66 @@
 """Corpus pipeline: documents through five stages, each one operator of
 ``itemwise.llm``.  Every stage is written as Parquet below the shared
-checkpoint folder and read again before the next one."""
+checkpoint folder and read again before the next one.
+
+1. quality rules: rejected documents go;
+2. MinHash near-dedup: the first document of each class stays;
+3. suffix-array dedup: bytes of repeated 400-byte strings leave the texts
+   (a character that is cut goes as a whole);
+4. benchmark decontamination: documents that an item leaks into go;
+5. SentencePiece: sampled pieces of the text, and the text decoded from them.
+
+Columns beyond those of ``documents`` pass through unchanged; ``n_chars``
+follows the text.  Null texts count as empty and fail the quality rules.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from itemwise.llm import decontaminate, minhash, pieces, quality, suffix
+from itemwise.llm.queries import table, tokenizer_file
 from itemwise.session import write_scratch
 
-STAGES: list = []
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(docs).where("kept").select(*docs.columns)
+
+
+def keep_first_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(docs).where("kept").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix.cut_repeats(docs, width=400)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    read = pieces.decode(pieces.sample_encode(docs, model, key="doc_id", alpha=1.0, seed=7), model)
+    return read.select(*docs.columns, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_dedup", keep_first_of_class),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_leaks),
+    ("pieces", to_pieces),
+]
+
+# Sampled pieces cannot be stated in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage, applied to all of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = write_scratch(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
