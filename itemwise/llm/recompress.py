@@ -9,8 +9,9 @@ range lies inside a window is the same, at the same offset, wherever that
 window occurs: equal substrings share their interior symbols.
 
 A window is filed under the least (by hash) of the highest-level symbols that
-it determines; windows without one use the next lower level, words at last.
-Spark counts the symbols of all texts, and windows under shared symbols are
+it determines, together with the words that decided it; windows without one
+use the next lower level, words at last.  Spark counts these symbols of all
+texts, and windows under shared symbols are
 verified: chunks by fingerprint, the rest window by window.
 
 Input handling: null or wordless texts have no words and lose nothing; texts
@@ -93,10 +94,11 @@ def chunks(words: np.ndarray, offsets: np.ndarray, width: int, rounds: int):
     if not m:
         none = np.zeros(0, np.int64)
         return none.astype(_U), none.astype(_U), none, none, none
-    bits = _U(max(n, 2).bit_length())
+    bits = _U(max(28, n.bit_length()))   # fixed for all but giant slices, so ties fall alike
     chosen = np.full(m, -1, np.int64)
     key = np.zeros(m, _U)
     todo = np.arange(m)
+    sums = A.prefix_sums(words)
     for level, (name, lo, hi) in reversed(list(enumerate(grammar(words, offsets, rounds)))):
         p = windows[todo]
         below = np.zeros(n + 3, np.int64)
@@ -109,7 +111,7 @@ def chunks(words: np.ndarray, offsets: np.ndarray, width: int, rounds: int):
         best = best.astype(np.int64)
         use = todo[has]
         chosen[use] = best * (rounds + 1) + level
-        key[use] = A.mix(name[best] + _U(0xDA942042E4DD58B5 * (level + 1) & _MASK))
+        key[use] = A.span_hashes(sums, lo[best], hi[best]) ^ _U(level)
         todo = todo[~has]
         if not len(todo):
             break
@@ -119,7 +121,6 @@ def chunks(words: np.ndarray, offsets: np.ndarray, width: int, rounds: int):
     at = np.flatnonzero(new)
     count = np.diff(np.append(at, m))
     start = windows[at]
-    sums = A.prefix_sums(words)
     fp = A.span_hashes(sums, start, start + count + width - 1)
     return key[at], fp, text[at], start - offsets[:-1][text[at]], count
 
@@ -201,7 +202,7 @@ def later_spans(docs: DataFrame, width: int = 20, rounds: int = 2) -> DataFrame:
 def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_words, n_removed, kept = [], [], []
-        texts, spans = batch.column(2), batch.column(3)
+        texts, spans = batch.column(1), batch.column(2)
         for i in range(batch.num_rows):
             words = (texts[i].as_py() or "").encode().split()
             total = len(words)
@@ -220,7 +221,6 @@ def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def substring_dedup(docs: DataFrame, width: int = 20, rounds: int = 2) -> DataFrame:
     """Every document without its later repeated words: doc_id, n_words,
     n_removed and kept (the remaining words joined by one space)."""
-    docs = R.identified(docs)
-    marked = R.with_spans(docs, later_spans(docs, width, rounds))
+    marked = R.with_spans(docs.select("doc_id", "text"), later_spans(R.identified(docs), width, rounds))
     kind = dict(docs.dtypes)["doc_id"]
     return marked.mapInArrow(_kept_batches, f"doc_id {kind}, n_words long, n_removed long, kept string")

@@ -69,9 +69,11 @@ def texts_with(docs: DataFrame, places: DataFrame) -> DataFrame:
     return joined.select(docs["doc_id"], docs["th"], "text", "items")
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Every text with the list of its ranges [s, e), null where it has none."""
-    lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    joined = docs.join(lists, same(docs, lists, ROW), "left")
-    keep = [docs[c] for c in docs.columns]
-    return joined.select(*keep, "spans")
+def with_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
+    """Every row of ``docs`` with ``__spans``, the list of its ranges [s, e),
+    null where it has none; all its columns are kept."""
+    lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
+    lists = write_scratch(lists.withColumnsRenamed({"doc_id": "__id", "th": "__th"}), "spans")
+    release_shuffles(docs.sparkSession)
+    joined = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.hash(text) == F.col("__th")), "left")
+    return joined.drop("__id", "__th")
