@@ -1,5 +1,7 @@
-"""JSON text columns parsed with ``from_json`` (one parse per value, schema
-pruned by Catalyst to the fields actually used)."""
+"""JSON text columns parsed with ``from_json``, one parse for each value.
+
+Without options Catalyst splits a struct read into one parse for each field;
+naming the (default) mode keeps the struct whole, so its fields share it."""
 
 from __future__ import annotations
 
@@ -27,6 +29,7 @@ STAT_FIELDS = [
 ]
 
 _CORRUPT = "__corrupt"
+SHARED = {"mode": "PERMISSIVE"}
 
 
 def _string_struct(fields: Sequence[str]) -> T.StructType:
@@ -37,7 +40,7 @@ def parse_object(c: Column, fields: Sequence[str]) -> Column:
     """Parse a JSON object; every field is read as text.  Malformed text,
     non-objects and null all give a struct of nulls; a missing key gives a
     null field.  Numbers come back as their JSON text (``1`` -> ``'1'``)."""
-    return F.from_json(c, _string_struct(fields))
+    return F.from_json(c, _string_struct(fields), SHARED)
 
 
 def extract_flat(df: DataFrame, column: str, keys: Sequence[str] = LLM_KEYS) -> DataFrame:
@@ -58,7 +61,7 @@ def extract_nested(df: DataFrame, column: str, outer_key: str,
     prefix = prefix if prefix is not None else column
     names = [f for f, _ in fields]
     schema = T.StructType([T.StructField(outer_key, _string_struct(names))])
-    inner = F.from_json(col(column), schema).getField(outer_key)
+    inner = F.from_json(col(column), schema, SHARED).getField(outer_key)
     outs = []
     for f, typ in fields:
         v = inner.getField(f)

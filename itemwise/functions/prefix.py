@@ -3,7 +3,7 @@ single-task window.
 
 A window ``ORDER BY x`` with no ``PARTITION BY`` moves every row into one
 task.  Here the rows are range-partitioned on the order key instead (and
-checkpointed, so the partition of a row is fixed); each
+written once, so the partition of a row is fixed); each
 partition's totals (one row per partition and group) are summed into
 offsets, which are broadcast back (their size is bounded by the partition
 count times the number of groups), and the local running total inside each
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from itemwise.session import materialize
+from itemwise.session import write_scratch
 
 DEFAULT_RANGES = 64
 
@@ -33,19 +33,20 @@ def _n_ranges(df: DataFrame, ranges: int | None) -> int:
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Column],
                    group: Sequence[str] = (), ranges: int | None = None,
-                   inclusive: bool = True) -> DataFrame:
+                   inclusive: bool = True, keep_range: str | None = None) -> DataFrame:
     """Append ``<name>`` = running sum of each expression in ``sums`` over
     ``order`` (ascending; put ``F.desc`` in ``order`` for descending) within
     ``group``.  Rows must be unique in (group, order) for the sum to be
     well defined, e.g. after grouping by the order key.
-    ``inclusive=False`` gives the sum of the rows strictly before."""
+    ``inclusive=False`` gives the sum of the rows strictly before;
+    ``keep_range`` names a column for the number of the row's range."""
     group = list(group)
     n = _n_ranges(df, ranges)
     base = df.select("*", *[e.alias(f"__v_{k}") for k, e in sums.items()])
     # The partition id must be the same in both branches below and after a
-    # task retry, so the range-partitioned rows are checkpointed once.
-    part = materialize(base.repartitionByRange(n, *[F.col(g) for g in group], *order)
-                       .withColumn("__pid", F.spark_partition_id()))
+    # task retry, so the range-partitioned rows are written once.
+    part = write_scratch(base.repartitionByRange(n, *[F.col(g) for g in group], *order)
+                         .withColumn("__pid", F.spark_partition_id()), "ranges")
     totals = part.groupBy(*group, "__pid").agg(*[F.sum(f"__v_{k}").alias(f"__t_{k}") for k in sums])
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "__pid",
@@ -58,6 +59,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Colum
     out = part.join(F.broadcast(offsets), group + ["__pid"], "left")
     for k in sums:
         out = out.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(w), F.lit(0)))
+    if keep_range:
+        out = out.withColumn(keep_range, F.col("__pid"))
     return out.drop("__pid", *[f"__v_{k}" for k in sums], *[f"__o_{k}" for k in sums])
 
 

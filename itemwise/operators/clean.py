@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.functions import labels as L
@@ -21,50 +21,28 @@ def drop_null_key(df: DataFrame, cols: Sequence[str] = ("category_name",)) -> Da
     return df.na.drop(subset=list(cols))
 
 
-def _order_key(order: Sequence[tuple[str, bool]], df: DataFrame) -> Column:
-    """A struct whose ascending order is the requested order.  Descending
-    numeric keys are negated; nulls sort first."""
-    parts = []
-    for i, (c, asc) in enumerate(order):
-        v = col(c)
-        if not asc:
-            dt = df.schema[c].dataType.typeName()
-            if dt not in ("integer", "long", "short", "byte", "double", "float", "decimal"):
-                raise TypeError(f"descending order needs a numeric column: {c}")
-            v = -v
-        parts.append(v.alias(f"k{i}"))
-    return F.struct(*parts)
+def _order(order: Sequence[tuple[str, bool]]) -> list[Column]:
+    """Sort columns; nulls come first either way."""
+    return [col(c).asc_nulls_first() if asc else col(c).desc_nulls_first() for c, asc in order]
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str],
-                     order: Sequence[tuple[str, bool]] | None = None) -> DataFrame:
-    """One row per key: the first by ``order`` (then by all remaining columns,
-    which makes the choice total and repeatable on recomputation).
-
-    Written as ``min_by`` in a group-by instead of ``row_number`` over a
-    window: the aggregate is combined map-side, so a key holding a third of
-    all rows is reduced in every input task before the shuffle rather than
-    sorted in one task.
+                     order: Sequence[tuple[str, bool]]) -> DataFrame:
+    """One row per key: the first by ``order``, which should be total up to
+    equal rows.  Narrow order columns keep all other columns prunable.
+
+    ``row_number() = 1`` is planned with a partial group limit before the
+    shuffle, so of a key that holds a third of all rows each task sends one.
     """
-    keys = list(keys)
-    order = list(order or [])
-    rest = [c for c in df.columns if c not in keys]
-    tiebreak = [(c, True) for c in rest if c not in {o for o, _ in order}]
-    okey = _order_key(order + tiebreak, df)
-    payload = F.struct(*[col(c).alias(f"v{i}") for i, c in enumerate(rest)])
-    best = (df.groupBy(*[col(k) for k in keys])
-              .agg(F.min_by(payload, okey).alias("__best")))
-    return best.select(*[col(k) for k in keys],
-                       *[F.col("__best").getField(f"v{i}").alias(c) for i, c in enumerate(rest)]
-                       ).select(*[col(c) for c in df.columns])
+    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*_order(order))
+    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def clean_items(df: DataFrame, title: str = "title_x", category: str = "category_name",
-                ds: str | None = "ds", order: Sequence[tuple[str, bool]] | None = None) -> DataFrame:
+                ds: str | None = "ds", order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
     """distinct -> non-null category -> one row per title (per day).
 
-    The first row per title is chosen by a total order over all columns, so
-    exact duplicates are identical candidates and the whole-row distinct
+    Whole-row copies are equal candidates for the first row, so the distinct
     cannot change the result; it is therefore not run as its own shuffle
     (``step_counts`` still reports it)."""
     keys = ([ds] if ds and ds in df.columns else []) + [title]
@@ -99,23 +77,23 @@ def funnel_filter(df: DataFrame, push: str = "push_num", click: str = "click_num
 
 def step_counts(df: DataFrame, title: str = "title_x", category: str = "category_name",
                 ds: str | None = "ds", rule: str = "a",
-                order: Sequence[tuple[str, bool]] | None = None) -> DataFrame:
-    """Rows before / kept / removed by each cleaning and labelling step.
-
-    Each step's count is an aggregate of the previous step's plan; the rows
-    are gathered with ``unionByName`` into one small report."""
-    d1 = distinct_rows(df)
-    d2 = drop_null_key(d1, [category])
+                order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
+    """Rows after each cleaning and labelling step, from one grouped pass:
+    copies are counted, the first row of each title is numbered, and every
+    step is a conditional sum."""
     keys = ([ds] if ds and ds in df.columns else []) + [title]
-    d3 = dedup_keep_first(d2, keys, order)
-    d4 = d3.where(L.not_single_buy())
-    d5 = label_items(d3, rule)
-    stages = [("input", df), ("distinct", d1), ("non_null_category", d2),
-              ("one_per_title", d3), ("not_single_buy", d4), ("labelled", d5)]
-    counts = [s.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("step_no"),
-                                                            F.lit(n).alias("step"), "rows")
-              for i, (n, s) in enumerate(stages)]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    rows = df.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__c"))
+    known = col(category).isNotNull()
+    w = Window.partitionBy(*[col(k) for k in keys], known).orderBy(*_order(order))
+    label = L.label_rule_a() if rule == "a" else L.label_rule_b()
+    first = known & (F.row_number().over(w) == 1)
+    rows = rows.select("__c", known.alias("__k"), first.alias("__f"), L.not_single_buy().alias("__b"),
+                       label.isNotNull().alias("__l"))
+    f, b = F.col("__f"), F.coalesce("__b", F.lit(False))
+    steps = {"input": F.sum("__c"), "distinct": F.count(F.lit(1)), "non_null_category": F.count_if(F.col("__k")),
+             "one_per_title": F.count_if(f), "not_single_buy": F.count_if(f & b),
+             "labelled": F.count_if(f & b & F.col("__l"))}
+    one = rows.agg(*[F.coalesce(v, F.lit(0)).cast("long").alias(n) for n, v in steps.items()])
+    lines = [F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"), F.col(n).alias("rows"))
+             for i, n in enumerate(steps)]
+    return one.select(F.inline(F.array(*lines)))

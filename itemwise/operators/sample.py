@@ -16,6 +16,7 @@ SAMPLE_COLUMNS = ["tb_push", "scenario_1", "tb_pay_money", "tb_cvr", "reserve_pr
                   "feature1", "tb_ctr", "level_one_category_name", "category_name",
                   "zk_final_price", "convert_rate", "lable_x"]
 SAMPLE_PER_CLASS = 1000
+PARTS = 16
 
 
 def balanced_sample(df: DataFrame, n: int = SAMPLE_PER_CLASS, label: str = "lable_x",
@@ -23,14 +24,17 @@ def balanced_sample(df: DataFrame, n: int = SAMPLE_PER_CLASS, label: str = "labl
                     order: Sequence[str] | None = None) -> DataFrame:
     """Rows complete in ``cols``; the first ``n`` of each class in ``order``.
 
-    The per-class ``row_number <= n`` is planned with a partial group limit
-    before the shuffle, so each input task forwards at most ``n`` rows per
-    class instead of the whole class."""
+    Two group limits: the first inside hash parts of each class, so the tasks
+    that finish a class get at most ``n`` rows from each of ``PARTS`` parts,
+    whatever the number of input partitions."""
     cols = list(cols or [c for c in SAMPLE_COLUMNS if c in df.columns])
     order = list(order or cols)
     kept = df.select(*[col(c) for c in cols]).na.drop(subset=cols)
-    w = Window.partitionBy(col(label)).orderBy(*[col(c) for c in order])
-    return kept.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    kept = kept.withColumn("__part", F.pmod(F.xxhash64(*[col(c) for c in order]), F.lit(PARTS)))
+    for by in ([col(label), F.col("__part")], [col(label)]):
+        w = Window.partitionBy(*by).orderBy(*[col(c) for c in order])
+        kept = kept.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    return kept.drop("__part")
 
 
 def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:
@@ -53,6 +57,11 @@ def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
     return df.withColumn("split", expr.otherwise(F.lit(names[-1])))
 
 
+def three_way_split(df: DataFrame, key: str) -> DataFrame:
+    """'train' 80 %, and of the rest 'valid' 75 % and 'test' 25 %."""
+    return hash_split(df, key, (0.8, 0.15, 0.05), ("train", "valid", "test"))
+
+
 def time_split(df: DataFrame, cut: str, ds: str = "ds") -> DataFrame:
     """'train' for days up to and including ``cut``, 'test' after it."""
     return df.withColumn("split", F.when(col(ds) <= F.lit(cut), F.lit("train"))

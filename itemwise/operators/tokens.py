@@ -4,17 +4,12 @@ The top-k rule: a list longer than ``k`` is ordered by the token's frequency
 in its day (descending; ties keep list order) and cut to ``k``; a list of
 ``k`` or fewer tokens keeps its own order.  The result is padded to ``k``.
 
-Plan: only lists longer than ``k`` are exploded with their positions and
-joined to the day's frequency table on (day, token) – a broadcast hash join
-when the table is provably small, a shuffle join otherwise – then regrouped
-per row key, sorted by (-frequency, position) and joined back.  Lists of at
-most ``k`` tokens never leave their row.  When the input is already
-partitioned by (day, key) – as it is after the per-title dedup – the
-regroup and the join back reuse that partitioning.
-
-(Spark map lookups are linear scans, so a broadcast ``map<token, n>``
-probed per token would be quadratic in the vocabulary; the join is used
-instead.)
+Plan: a list's result depends on its day and its text alone, so equal lists
+of a day are first counted as one (rows may repeat, no row key is needed).
+Token frequencies are sums over these distinct lists; only lists longer than
+``k`` are joined to them, ranked with a literal group limit, and brought back
+by (day, digest of the list).  Lists of at most ``k`` tokens never leave their
+row.  Groups match null to null.
 """
 
 from __future__ import annotations
@@ -25,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.operators.columns import col, drop_strict
-from itemwise.operators.joins import merge
-from itemwise.session import has_at_most
 
 # Fixed values of the expansion step.
 FEATURE_K = 6
@@ -37,12 +30,6 @@ DELIMITER = ";"
 # Pads are null inside the pipeline: a real token may be the text "-1".
 PAD = None
 
-# Explicit row bound under which the token frequency table is broadcast.
-# 0 = no pre-check job: the vocabulary grows with the data, so the join is
-# left to the planner and AQE, which broadcasts at run time from the
-# measured size of the frequency table when it is small.
-MAP_PLAN_MAX_TOKENS = 0
-
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
 
@@ -74,7 +61,6 @@ def top_tokens(freq: DataFrame, k: int = 20, group: Sequence[str] = ()) -> DataF
     """The ``k`` most frequent tokens (ties by token text) per group, with
     their rank.  ``row_number <= k`` is planned as a partial group limit
     before the shuffle, so each task sends at most ``k`` rows per group."""
-    from pyspark.sql import Window
     w = Window.partitionBy(*[col(g) for g in group]).orderBy(F.desc("n"), F.asc("token"))
     return freq.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -84,94 +70,63 @@ def _pad(arr: Column, k: int, pad) -> Column:
     return F.concat(arr, F.array_repeat(filler, F.greatest(F.lit(0), F.lit(k) - F.size(arr))))
 
 
-def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], keys: Sequence[str],
-               group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD,
-               max_map_tokens: int = MAP_PLAN_MAX_TOKENS,
-               out_fmt: str = "{}_topk") -> DataFrame:
-    """Append one array of exactly ``k`` tokens per (column, k) in ``specs``.
-
-    All list columns are handled in one pass: a single explode of every
-    (column, position, token), one frequency aggregate per (group, column,
-    token), one join, one regroup per (row key, column) and one join back.
-    ``keys`` must identify a row within its group (after cleaning the title
-    is unique per day).
-    """
-    group, keys = list(group), list(keys)
+def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[str] = ("ds",),
+               delim: str = DELIMITER, pad=PAD, out_fmt: str = "{}_topk") -> DataFrame:
+    """Append one array of exactly ``k`` tokens per (column, k) in ``specs``;
+    all list columns go through one frequency aggregate, one join and one
+    ranking."""
+    group = list(group)
     specs = [(c, k) for c, k in specs if c in df.columns]
     if not specs:
         return df
-    gk = group + keys
-    arrays = {c: split_tokens(c, delim) for c, _ in specs}
-    # Split once into columns; lambdas below only reference those columns.
-    split_cols = df.select(*[col(x) for x in gk],
-                           *[arrays[c].alias(f"__a{i}") for i, (c, _) in enumerate(specs)])
-
-    def tagged(i: int, c: str, k: int) -> Column:
-        a = F.col(f"__a{i}")
-        return F.transform(a, lambda t, j: F.struct(
-            F.lit(c).alias("list"), j.alias("pos"), t.alias("token"),
-            (F.size(a) > k).alias("long")))
-
-    pieces = [tagged(i, c, k) for i, (c, k) in enumerate(specs)]
-    empty = F.array().cast("array<struct<list:string,pos:int,token:string,long:boolean>>")
-    tokens = split_cols.select(*[col(x) for x in gk],
-                               F.explode(F.flatten(F.array(*[F.coalesce(p, empty) for p in pieces])))
-                               .alias("e")).select(*[col(x) for x in gk], "e.*")
-    freq = tokens.groupBy(*[col(g) for g in group], "list", "token").agg(F.count(F.lit(1)).alias("n"))
-    if max_map_tokens > 0 and has_at_most(freq, max_map_tokens):
-        freq = F.broadcast(freq)
-    # Rank the tokens of each long list by (-frequency, position) and keep
-    # k.  All tokens of a list come from one input row, hence one task, and
-    # ``row_number() <= k`` is planned with a partial group limit before
-    # the shuffle: only k tokens per list are shuffled.
-    k_of = F.lit(specs[0][1])
-    for c, k in specs[1:]:
-        k_of = F.when(F.col("list") == c, F.lit(k)).otherwise(k_of)
-    w = Window.partitionBy(*[col(x) for x in gk], "list").orderBy(
-        F.desc_nulls_last("n"), F.asc("pos"))
-    ranked = (tokens.where("long")
-              .join(freq, group + ["list", "token"], "left")
-              .withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") <= k_of)
-              .groupBy(*[col(x) for x in gk], "list")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col("__rn").alias("r"),
-                                                        F.col("token").alias("t")))).alias("top"))
-              .select(*[col(x) for x in gk], "list",
-                      F.transform("top", lambda e: e.getField("t")).alias("top")))
-    if len(specs) == 1:
-        wide = ranked.select(*[col(x) for x in gk], F.col("top").alias("__top_0"))
-    else:
-        wide = ranked.groupBy(*[col(x) for x in gk]).pivot("list", [c for c, _ in specs]) \
-                     .agg(F.first("top"))
-        wide = wide.select(*[col(x) for x in gk],
-                           *[col(c).alias(f"__top_{i}") for i, (c, _) in enumerate(specs)])
-    joined = merge(df, wide, on=gk, how="left")
-    # Split again after the join (cheaper than shuffling the token arrays);
-    # the outputs then reference these columns rather than repeated splits.
-    joined = joined.withColumns({f"__a{i}": split_tokens(c, delim) for i, (c, _) in enumerate(specs)})
-    outs = {}
+    by = [col(g) for g in group]
+    texts = F.array(*[F.struct(F.lit(i).alias("__list"), F.lit(k).alias("__k"), col(c).alias("__text"))
+                      for i, (c, k) in enumerate(specs)])
+    lists = (df.select(*by, F.inline(texts)).where("__text IS NOT NULL")
+             .groupBy(*by, "__list", "__k", "__text").agg(F.count(F.lit(1)).alias("__c"))
+             .select(*by, "__list", "__k", "__c", F.md5("__text").alias("__md5"),
+                     split_tokens("__text", delim).alias("__a")))
+
+    def tokens(part: DataFrame) -> DataFrame:
+        return part.select(*by, "__list", "__k", "__c", "__md5",
+                           F.posexplode("__a").alias("__pos", "__token"))
+
+    freq = (tokens(lists).groupBy(*by, "__list", "__token").agg(F.sum("__c").alias("__n"))
+            .withColumnsRenamed({g: f"__g_{g}" for g in group} | {"__list": "__fl", "__token": "__ft"}))
+    long = tokens(lists.where(F.size("__a") > F.col("__k")))
+    match = (F.col("__list") == F.col("__fl")) & (F.col("__token") == F.col("__ft"))
+    for g in group:
+        match = match & col(g).eqNullSafe(col(f"__g_{g}"))
+    key = [*by, F.col("__list"), F.col("__md5")]
+    w = Window.partitionBy(*key).orderBy(F.desc("__n"), F.asc("__pos"))
+    ranked = (long.join(freq, match).withColumn("__rn", F.row_number().over(w))
+              .where(F.col("__rn") <= max(k for _, k in specs)).where(F.col("__rn") <= F.col("__k"))
+              .groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__rn", "__token"))).alias("__top")))
+    out = df
     for i, (c, k) in enumerate(specs):
-        arr = F.col(f"__a{i}")
+        best = ranked.where(F.col("__list") == i).select(
+            *[col(g).alias(f"__g_{g}") for g in group], F.col("__md5").alias("__m"),
+            F.transform("__top", lambda e: e["__token"]).alias(f"__top_{i}"))
+        cond = F.md5(col(c)) == F.col("__m")
+        for g in group:
+            cond = cond & col(g).eqNullSafe(col(f"__g_{g}"))
+        out = out.join(best, cond, "left").drop("__m", *[f"__g_{g}" for g in group])
+        arr = split_tokens(c, delim)
         # __top_i is set exactly for the lists longer than k.
         chosen = F.coalesce(F.col(f"__top_{i}"), arr)
-        outs[out_fmt.format(c)] = F.when(arr.isNull(), F.array_repeat(F.lit(pad).cast("string"), k)) \
-                                   .otherwise(_pad(chosen, k, pad))
-    return joined.withColumns(outs).drop(*[f"__top_{i}" for i in range(len(specs))],
-                                         *[f"__a{i}" for i in range(len(specs))])
+        out = out.withColumn(out_fmt.format(c), F.when(col(c).isNull(), F.array_repeat(F.lit(pad).cast("string"), k))
+                             .otherwise(_pad(chosen, k, pad))).drop(f"__top_{i}")
+    return out
 
 
-def topk_tokens(df: DataFrame, column: str, k: int, keys: Sequence[str],
-                group: Sequence[str] = ("ds",), out: str | None = None,
-                delim: str = DELIMITER, pad=PAD,
-                max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
+def topk_tokens(df: DataFrame, column: str, k: int, group: Sequence[str] = ("ds",),
+                out: str | None = None, delim: str = DELIMITER, pad=PAD) -> DataFrame:
     """Append ``out`` (default ``<column>_topk``): an array of exactly ``k``."""
-    fmt = out if out else "{}_topk"
-    return topk_lists(df, [(column, k)], keys, group, delim, pad, max_map_tokens, fmt)
+    return topk_lists(df, [(column, k)], group, delim, pad, out if out else "{}_topk")
 
 
 def expand_lists(df: DataFrame, specs: Sequence[tuple[str, int, Sequence[str]]],
-                 keys: Sequence[str], group: Sequence[str] = ("ds",), delim: str = DELIMITER,
-                 pad=PAD, max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
+                 group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD) -> DataFrame:
     """Replace each list column by ``k`` named columns of its top-k tokens;
     a column that is absent is reported and skipped."""
     present = []
@@ -182,40 +137,24 @@ def expand_lists(df: DataFrame, specs: Sequence[tuple[str, int, Sequence[str]]],
         present.append((c, k, list(names)))
     if not present:
         return df
-    out = topk_lists(df, [(c, k) for c, k, _ in present], keys, group, delim, pad,
-                     max_map_tokens, "__{}_topk")
+    out = topk_lists(df, [(c, k) for c, k, _ in present], group, delim, pad, "__{}_topk")
     out = out.select("*", *[F.col(f"__{c}_topk")[i].alias(n)
                             for c, _, names in present for i, n in enumerate(names)])
     return drop_strict(out, [f"__{c}_topk" for c, _, _ in present] + [c for c, _, _ in present])
 
 
-def expand_list(df: DataFrame, column: str, k: int, names: Sequence[str], keys: Sequence[str],
-                group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD,
-                max_map_tokens: int = MAP_PLAN_MAX_TOKENS) -> DataFrame:
+def expand_list(df: DataFrame, column: str, k: int, names: Sequence[str],
+                group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD) -> DataFrame:
     """Replace a list column by ``k`` columns holding its top-k tokens."""
-    return expand_lists(df, [(column, k, names)], keys, group, delim, pad, max_map_tokens)
-
-
-def expand_features(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
-                    column: str = "feature", k: int = FEATURE_K,
-                    names: Sequence[str] = FEATURE_NAMES, **kw) -> DataFrame:
-    """``feature`` -> ``feature1..feature6``."""
-    return expand_list(df, column, k, names, keys, group, **kw)
-
-
-def expand_pairs(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
-                 columns: Sequence[str] = PAIR_COLUMNS, k: int = PAIR_K, **kw) -> DataFrame:
-    """``scenario``/``brand_real``/``audience`` -> ``<c>_1``, ``<c>_2``."""
-    return expand_lists(df, [(c, k, [f"{c}_{i + 1}" for i in range(k)]) for c in columns],
-                        keys, group, **kw)
+    return expand_lists(df, [(column, k, names)], group, delim, pad)
 
 
-def expand_item_lists(df: DataFrame, keys: Sequence[str], group: Sequence[str] = ("ds",),
-                      **kw) -> DataFrame:
-    """Both expansion steps of the cleaning stage in one pass."""
+def expand_item_lists(df: DataFrame, group: Sequence[str] = ("ds",), **kw) -> DataFrame:
+    """Both expansion steps of the cleaning stage in one pass: ``feature`` ->
+    ``feature1..feature6``, the pair columns -> ``<c>_1``, ``<c>_2``."""
     specs = [("feature", FEATURE_K, FEATURE_NAMES)] + [
         (c, PAIR_K, [f"{c}_{i + 1}" for i in range(PAIR_K)]) for c in PAIR_COLUMNS]
-    return expand_lists(df, specs, keys, group, **kw)
+    return expand_lists(df, specs, group, **kw)
 
 
 def split_length_histogram(df: DataFrame, column: str, delim: str = DELIMITER,
@@ -231,7 +170,6 @@ def split_length_stats(df: DataFrame, column: str, delim: str = DELIMITER,
                        group: Sequence[str] = ()) -> DataFrame:
     """Longest list, and the most common length (ties: the shorter), with its
     row count.  Built on the histogram, which has one row per length."""
-    from pyspark.sql import Window
     h = split_length_histogram(df, column, delim, group)
     w = Window.partitionBy(*[col(g) for g in group])
     ordered = Window.partitionBy(*[col(g) for g in group]).orderBy(F.desc("rows"), F.asc("n_tokens"))

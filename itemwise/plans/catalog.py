@@ -191,14 +191,14 @@ def _masked_keys(spark, d):
     s = S.table(spark, d, "supplier")
     c = c.select(F.when(F.col("c_mktsegment") == "BUILDING", None).otherwise(F.col("c_custkey"))
                  .alias("key"), "c_name")
-    s = s.select(F.when(F.col("s_nationkey") < 3, None).otherwise(F.col("s_suppkey"))
+    s = s.select(F.when(F.col("s_suppkey") <= 3, None).otherwise(F.col("s_suppkey"))
                  .alias("key"), "s_name")
     return c, s
 
 
 MASKED_SQL = """c AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS key,
                      c_name FROM customer),
-s AS (SELECT CASE WHEN s_nationkey < 3 THEN NULL ELSE s_suppkey END AS key, s_name FROM supplier)"""
+s AS (SELECT CASE WHEN s_suppkey <= 3 THEN NULL ELSE s_suppkey END AS key, s_name FROM supplier)"""
 
 query("nullsafe_left_join",
       f"WITH {MASKED_SQL} SELECT c.key, c.c_name, s.s_name FROM c LEFT JOIN s "
@@ -306,14 +306,24 @@ TOP6 = [f"top{i}" for i in range(1, 7)]
 TOP2 = ["text_1", "text_2"]
 
 query("topk_tokens_6", O.docs_topk(6, TOP6))(
-    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["doc_id"], ["lang"], " "))
+    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["lang"], " "))
 
 query("topk_tokens_2", O.docs_topk(2, TOP2))(
-    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 2, TOP2, ["doc_id"], ["lang"], " "))
+    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 2, TOP2, ["lang"], " "))
 
-query("topk_tokens_broadcast_plan", O.docs_topk(6, TOP6))(
-    lambda spark, d: TK.expand_list(_docs(spark, d), "text", 6, TOP6, ["doc_id"], ["lang"], " ",
-                                    max_map_tokens=2_000_000))
+query("topk_tokens_null_group",
+      O.docs_topk(6, TOP6).replace("FROM documents", "FROM nulled", 2).replace(
+          "WITH ", "WITH nulled AS (SELECT doc_id, nullif(lang, 'es') AS lang, text FROM documents),\n", 1)
+      .replace("documents s", "nulled s"))(
+    lambda spark, d: TK.expand_list(
+        _docs(spark, d).withColumn("lang", F.nullif("lang", F.lit("es"))), "text", 6, TOP6, ["lang"], " "))
+
+query("token_counts",
+      "SELECT doc_id, CASE WHEN source = 'src1' THEN 0 ELSE len(string_split(text, ' ')) END AS n_tokens "
+      "FROM documents")(
+    lambda spark, d: S.table(spark, d, "documents").select(
+        "doc_id", F.when(F.col("source") != "src1", F.col("text")).alias("text"))
+    .select("doc_id", TK.token_count("text", " ").alias("n_tokens")))
 
 query("split_length_histogram",
       "SELECT len(string_split(text, ' ')) AS n_tokens, count(*) AS rows FROM documents "
@@ -327,6 +337,20 @@ query("split_length_stats",
     lambda spark, d: TK.split_length_stats(_docs(spark, d), "text", " "))
 
 CLEAN_SQL = f"WITH {O.clean_ctes('a')}"
+
+
+def _repeated_categories(spark, d):
+    """CLEAN with a category table that lists some categories twice, so that
+    (day, title) repeats."""
+    ctx = Ctx(spark, d)
+    cf = ctx.src("category_feature_src")
+    twice = cf.where("tb_ctr < 0.3").withColumn("tb_push", F.col("tb_push") + 1000)
+    return PR.prepare_day_items(ctx.raw(), cf.unionByName(twice)).select(*EXPAND_VIEW, "tb_push")
+
+
+query("expand_tokens_repeated", f"WITH {O.clean_ctes_repeated()}\n"
+      "SELECT ds, title_x, lable_x, feature1, feature2, feature3, feature4, feature5, feature6, scenario_1, "
+      "scenario_2, brand_real_1, brand_real_2, audience_1, audience_2, tb_push FROM clean")(_repeated_categories)
 EXPAND_VIEW = ["ds", "title_x", "lable_x"] + TK.FEATURE_NAMES + [
     "scenario_1", "scenario_2", "brand_real_1", "brand_real_2", "audience_1", "audience_2"]
 
@@ -334,7 +358,6 @@ query("expand_tokens", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FROM clea
     lambda spark, d: Ctx(spark, d).clean().select(*EXPAND_VIEW))
 
 query("item_token_frequency",
-      CLEAN_SQL.replace("clean AS (", "ignored AS (") if False else
       f"WITH {O.RAW_BASE},\n{O.CLEAN_BASE},\n{O.labelled('a', 7)},\n{O.WITH_CF}\n"
       "SELECT ds, token, count(*) AS n FROM (SELECT ds, unnest(string_split(feature, ';')) AS token "
       "FROM with_cf WHERE feature IS NOT NULL) GROUP BY ds, token")(
@@ -371,10 +394,6 @@ from itemwise.session import scratch_path  # noqa: E402
 from itemwise.sources import dated as DT  # noqa: E402
 from itemwise.sources import files as FI  # noqa: E402
 
-# Rounds used by the registered model queries (the library default is the
-# original's upper limit of 2000 with early stopping).
-QUERY_ROUNDS = 20
-
 
 def _train_all(ctx: Ctx) -> DataFrame:
     return ctx._get("train_all", lambda: PR.training_set(ctx.clean()))
@@ -388,24 +407,35 @@ def _encoded(ctx: Ctx):
     return ctx._get("encoded", lambda: TR.fit_and_encode(*_split(ctx)))
 
 
-def _model(ctx: Ctx):
-    def build():
+# Where this process has saved the model of an input: (path, history).
+_FITTED: dict[tuple, tuple[str, list]] = {}
+
+
+def _fitted(ctx: Ctx, drop: tuple[str, ...] = ()):
+    """The model of all rounds that the library's parameters ask for, and its
+    history; fitted once for each input and session, like a saved model."""
+    key = (ctx.spark.sparkContext.applicationId, ctx.sf_dir, drop)
+    if key not in _FITTED:
         tr, te, _ = _encoded(ctx)
-        return TR.train_model(tr, te, max_iter=QUERY_ROUNDS)
-    return ctx._get("model", build)
+        model, history = TR.train_model(CO.drop_tolerant(tr, drop), CO.drop_tolerant(te, drop))
+        path = scratch_path(ctx.spark, "model")
+        MD.save_model(model, path)
+        _FITTED[key] = (path, history)
+    return _FITTED[key]
+
+
+def _model(ctx: Ctx):
+    return MD.load_model(_fitted(ctx)[0])
 
 
 TRAIN_SQL = f"WITH {O.train_ctes(TR.CUT)}"
 
 # --- profiles -----------------------------------------------------------------
 
-PROFILE_COLS = EN.FIT_COLUMNS + ["lable_x", "weekly_order_cnt", "zk_final_price", "convert_rate"]
-
 query("profile_nunique",
-      CLEAN_SQL + ",\n" + O.CONFLICTS + "\n" + " UNION ALL ".join(
-          f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM clean"
-          for c in PROFILE_COLS))(
-    lambda spark, d: P.profile_nunique(Ctx(spark, d).clean(), PROFILE_COLS))
+      CLEAN_SQL + ", v AS (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM clean)\nSELECT name AS \"column\", "
+      "count(DISTINCT value) AS n_distinct FROM v UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(*))) GROUP BY name")(
+    lambda spark, d: P.profile_nunique(Ctx(spark, d).clean()))
 
 query("distinct_with_null",
       f"WITH {O.RAW_BASE} SELECT count(DISTINCT category_second) + "
@@ -540,11 +570,18 @@ query("time_split",
     lambda spark, d: SP.time_split(Ctx(spark, d).clean(), TR.CUT).select("ds", "title_x", "lable_x",
                                                                          "split"))
 
-query("hash_split")(
-    lambda spark, d: SP.hash_split(Ctx(spark, d).clean(), "title_x")
-    .groupBy("split").agg(F.count(F.lit(1)).alias("rows")))
+def _three_splits(spark, d):
+    split = SP.three_way_split(Ctx(spark, d).clean(), "title_x")
+    each = split.groupBy("title_x").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("split").alias("s"),
+                                        F.max(F.col("split").isin("train", "valid", "test")).alias("known"))
+    return each.agg(F.sum("n").alias("rows"), F.count_if(F.col("s") > 1).alias("titles_in_two"),
+                    F.min("known").alias("all_named"))
+
+
+query("hash_split", CLEAN_SQL + "\nSELECT CAST(count(*) AS BIGINT) AS rows, 0 AS titles_in_two, "
+      "true AS all_named FROM clean")(_three_splits)
 
-query("shuffle_rows")(
+query("shuffle_rows", CLEAN_SQL + "\nSELECT ds, title_x, lable_x FROM clean")(
     lambda spark, d: SP.shuffle_rows(Ctx(spark, d).clean().select("ds", "title_x", "lable_x")))
 
 # --- evaluation on event scores -------------------------------------------------
@@ -629,7 +666,8 @@ query("score_density",
       "st2 AS (SELECT *, sd * pow(n, -0.2) AS bw FROM st), "
       f"st3 AS (SELECT *, lo - {EV.DENSITY_CUT!r} * bw AS g0, (hi - lo + {2 * EV.DENSITY_CUT!r} * bw) / "
       f"{EV.DENSITY_GRID - 1} AS step FROM st2), "
-      "cnt AS (SELECT label, score AS s, count(*) AS c FROM scored GROUP BY label, score), "
+      f"cnt AS (SELECT label, (floor(score / {EV.DENSITY_BIN!r}) + 0.5) * {EV.DENSITY_BIN!r} AS s, count(*) AS c "
+      f"FROM scored GROUP BY label, floor(score / {EV.DENSITY_BIN!r})), "
       f"grid AS (SELECT label, n, bw, i AS point, g0 + i * step AS x FROM st3, range({EV.DENSITY_GRID}) t(i)) "
       "SELECT g.label, CAST(g.point AS INTEGER) AS point, round(g.x, 6) AS x, "
       "round(sum(c.c * exp(-0.5 * ((g.x - c.s) / g.bw) * ((g.x - c.s) / g.bw))) / "
@@ -649,8 +687,9 @@ def _written_days(spark, d):
     root = scratch_path(spark, "dated")
     (Ctx(spark, d).src("label_src").repartition(4, "ds").write.mode("overwrite")
      .partitionBy("ds").parquet(root))
-    spark.createDataFrame([("marker",)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{root}/ds=1995/_notes")
+    jvm = spark._jvm
+    stray = jvm.org.apache.hadoop.fs.Path(f"{root}/ds=1995/notes.txt")
+    stray.getFileSystem(spark._jsc.hadoopConfiguration()).create(stray).close()
     return root
 
 
@@ -662,6 +701,35 @@ query("scan_dated_days",
     lambda spark, d: DT.scan_dated(spark, _written_days(spark, d), "ds=", SC.LABEL, ["1996", "1999"]))
 
 
+query("scan_missing_day",
+      f"WITH {O.RAW_BASE} SELECT title, buy_num, click_num, ds FROM label_src WHERE ds = '1996'")(
+    lambda spark, d: DT.scan_dated(spark, _written_days(spark, d), "ds=", SC.LABEL, ["1996", "2050"]))
+
+
+def _scan_all_sources(spark, d):
+    """Rows and days that a scan of each daily source finds, one of them
+    without any of the wanted days."""
+    ctx, out = Ctx(spark, d), []
+    for name, schema in (("label_src", SC.LABEL), ("dua_src", SC.DUA), ("llm_src", SC.LLM), ("ici_src", SC.ICI)):
+        src = ctx.src(name)
+        src = src if "ds" in src.columns else src.withColumn("ds", F.lit("1996"))
+        root = scratch_path(spark, "dated")
+        src.write.partitionBy("ds").parquet(root)
+        for days in (["1996", "1997"], ["2050"]):
+            found = DT.scan_dated(spark, root, "ds=", schema, days)
+            out.append(found.agg(F.lit(name).alias("source"), F.lit(days[0]).alias("first_day"),
+                                 F.count(F.lit(1)).alias("rows"), F.count_distinct("ds").alias("days")))
+    return DT.union_by_name(out)
+
+
+query("scan_all_sources",
+      f"WITH {O.RAW_BASE}, u AS (SELECT 'label_src' AS source, ds FROM label_src UNION ALL SELECT 'dua_src', ds "
+      "FROM dua_src UNION ALL SELECT 'llm_src', '1996' FROM llm_src UNION ALL SELECT 'ici_src', '1996' FROM ici_src) "
+      "SELECT source, '1996' AS first_day, count(*) AS rows, count(DISTINCT ds) AS days FROM u "
+      "WHERE ds IN ('1996', '1997') GROUP BY source UNION ALL SELECT DISTINCT source, '2050', 0, 0 FROM u")(
+    _scan_all_sources)
+
+
 def _union_by_name(spark, d):
     lab = Ctx(spark, d).src("label_src")
     early = lab.where(F.col("ds") <= "1997")
@@ -711,7 +779,10 @@ def _export_sample(spark, d):
     return spark.read.options(**FI.CSV_OPTIONS).csv(path)
 
 
-query("export_sample")(_export_sample)
+query("export_sample",
+      CLEAN_SQL + f",\n{O.CONFLICTS}\nSELECT CAST(lable_x AS VARCHAR) AS lable_x, least(count(*), 1000) AS rows "
+      f"FROM train_all WHERE {' AND '.join(c + ' IS NOT NULL' for c in SP.SAMPLE_COLUMNS)} GROUP BY lable_x")(
+    lambda spark, d: _export_sample(spark, d).groupBy("lable_x").agg(F.count(F.lit(1)).alias("rows")))
 
 # --- model ----------------------------------------------------------------------
 
@@ -721,22 +792,32 @@ def _scored(spark, d):
     return TR.scored_test(_model(ctx), _encoded(ctx)[1])
 
 
-query("train_gbt")(lambda spark, d: MD.feature_importance(_model(Ctx(spark, d)), top=None))
+query("train_gbt")(
+    lambda spark, d: MD.tree_nodes(spark, _model(Ctx(spark, d))).groupBy("tree")
+    .agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("left") < 0).alias("leaves")))
 query("feature_importance")(lambda spark, d: MD.feature_importance(_model(Ctx(spark, d)), top=20))
-query("batch_score")(_scored)
+query("batch_score", TRAIN_SQL + f"\nSELECT ds, title_x, lable_x AS label, true AS is_probability FROM filled "
+      f"WHERE ds > '{TR.CUT}'")(
+    lambda spark, d: _scored(spark, d).select(
+        "ds", "title_x", "label", F.col("score").between(0, 1).alias("is_probability")))
 query("train_history")(
-    lambda spark, d: MD.train_history(_model(Ctx(spark, d)), _encoded(Ctx(spark, d))[1]))
+    lambda spark, d: spark.createDataFrame(_fitted(Ctx(spark, d))[1], "round int, auc double"))
 query("model_auc")(lambda spark, d: EV.auc(_scored(spark, d)))
 
 
 def _model_roundtrip(spark, d):
+    """Scores of a model against those of its saved and loaded copy."""
     ctx = Ctx(spark, d)
     path = scratch_path(spark, "model")
-    MD.save_model(_model(ctx), path)
-    return TR.scored_test(MD.load_model(path), _encoded(ctx)[1])
+    model, test = _model(ctx), _encoded(ctx)[1]
+    MD.save_model(model, path)
+    before = TR.scored_test(model, test).withColumnRenamed("score", "s1")
+    after = TR.scored_test(MD.load_model(path), test).withColumnRenamed("score", "s2")
+    both = before.join(after, ["ds", "title_x"], "full")
+    return both.agg(F.count_if(~F.col("s1").eqNullSafe(F.col("s2"))).alias("n_differing"))
 
 
-query("model_roundtrip")(_model_roundtrip)
+query("model_roundtrip", "SELECT 0 AS n_differing")(_model_roundtrip)
 
 # --- streaming day loop ---------------------------------------------------------
 
@@ -760,16 +841,24 @@ query("drop_by_pattern",
     lambda spark, d: CO.drop_matching(Ctx(spark, d).raw(), suffixes=["_count_"], contains=["raw_"]))
 
 
+GROUPS = {"price": ["zk_final_price", "reserve_price", "absent"], "browse": ["daily_browse_ratio", "daily_browse_cnt"],
+          "other": ["ici"]}
+
+query("drop_groups",
+      f"WITH {O.RAW_BASE} SELECT * EXCLUDE (zk_final_price, reserve_price, daily_browse_ratio, daily_browse_cnt) FROM raw")(
+    lambda spark, d: CO.drop_group(Ctx(spark, d).raw(), GROUPS, ["price", "browse"]))
+
+
 def _score_later_days(spark, d):
     """Save model and vocabulary, load both, score the test days as step 3
-    does, and report the threshold sweep of those scores."""
+    does - without the statistics, which its model has not seen either - and
+    report the threshold sweep of those scores."""
     ctx = Ctx(spark, d)
-    mpath, vpath = scratch_path(spark, "model"), scratch_path(spark, "vocab")
-    MD.save_model(_model(ctx), mpath)
+    vpath = scratch_path(spark, "vocab")
     FI.save_vocab(_encoded(ctx)[2], vpath)
+    model = MD.load_model(_fitted(ctx, tuple(STAT_KEPT))[0])
     test_days = TR.split_days(_train_all(ctx))[1]
-    scores = TR.score_days(MD.load_model(mpath), FI.load_vocab(spark, vpath), test_days,
-                           ctx.src("blacklist_src"), STAT_KEPT)
+    scores = TR.score_days(model, FI.load_vocab(spark, vpath), test_days, ctx.src("blacklist_src"), STAT_KEPT)
     return EV.threshold_sweep(scores)
 
 

@@ -39,7 +39,7 @@ def _days(a: DataFrame, b: DataFrame, day: str) -> list[str]:
 def label_with_items(label: DataFrame, dua: DataFrame, day: str = "ds") -> DataFrame:
     """LABEL ⟕ DUA on title = item_title (null-safe), bookkeeping dropped."""
     ld = merge(label, dua, on=_days(label, dua, day), left_on=["title"],
-               right_on=["item_title"], how="left")
+               right_on=["item_title"], how="left", split_nulls=True)
     return drop_strict(ld, DUA_DROP)
 
 
@@ -62,10 +62,17 @@ def merge_sources(label: DataFrame, dua: DataFrame, llm: DataFrame, ssr: DataFra
                   ici: DataFrame, day: str = "ds") -> DataFrame:
     """The raw table of all days (one row per label row and match)."""
     ld = label_with_items(label, dua, day)
-    ls = descriptions_with_stats(llm, ssr, day)
+    parsed = extract_flat(llm, "llm_nor", LLM_KEYS)
+    stats = extract_stats(ssr)
+    stat_names = [c for c in stats.columns if c not in ssr.columns]
+    stats = stats.drop(*[f"`ranked_categories.{c}`" for c, _ in STAT_COLUMNS])
+    days = _days(parsed, stats, day)
+    ls = left_join_dimension(parsed, stats, on=days, left_on=["category_second"],
+                             right_on=["ranked_categories.category_name"])
+    kept = [c for c in LLM_SSR_KEEP if not c.startswith("ranked_categories.")]
+    ls = select_ordered(ls, days + kept + stat_names)
     dx = merge(ld, ls, on=_days(ld, ls, day), left_on=["title_x"], right_on=["item_title"],
                how="left")
-    dx = extract_stats(dx)
     final = merge(dx, ici, on=_days(dx, ici, day), left_on=["title_x"], right_on=["title"],
                   how="left")
-    return drop_strict(final, FINAL_DROP)
+    return drop_strict(final, [c for c in FINAL_DROP if not c.startswith("ranked_categories.")])

@@ -86,12 +86,17 @@ def label_a_sql(weekly_max: int | None = 7) -> str:
 LABEL_B = ("CAST(CASE WHEN buy_num_x >= 1 THEN 1 "
            "WHEN buy_num_x = 0 AND click_num_x >= 5 THEN 0 END AS INTEGER)")
 
-CLEAN_BASE = """raw_distinct AS (SELECT DISTINCT * FROM raw),
+FIRST_ORDER = ", ".join(c + " ASC NULLS FIRST" for c in (
+    "buy_num_x", "category_name", "level_one_category_name", "brand_name", "shop_title", "weekly_order_cnt",
+    "zk_final_price", "reserve_price", "final_promotion_price", "daily_browse_ratio", "weekly_browse_ratio",
+    "monthly_browse_ratio", "daily_browse_cnt", "click_sum", "buy_sum", "convert_rate", "ici_push_total",
+    "gmv_sum", "commission_sum", "ici", "ici_card"))
+CLEAN_BASE = f"""raw_distinct AS (SELECT DISTINCT * FROM raw),
 raw_nn AS (SELECT * FROM raw_distinct WHERE category_name IS NOT NULL),
 raw_first AS (
   SELECT * EXCLUDE (__rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY ds, title_x
-                                 ORDER BY click_num_x DESC NULLS FIRST) AS __rn
+                                 ORDER BY click_num_x DESC NULLS FIRST, {FIRST_ORDER}) AS __rn
     FROM raw_nn) WHERE __rn = 1)"""
 
 
@@ -151,6 +156,23 @@ def clean_ctes(rule: str = "a") -> str:
     return ",\n".join([RAW_BASE, CLEAN_BASE, labelled(rule), WITH_CF] + parts)
 
 
+def clean_ctes_repeated() -> str:
+    """``clean`` where the category table lists some categories twice; every
+    row has a number of its own, which the ranking uses as its key."""
+    cf = """cf2 AS (SELECT * FROM category_feature_src UNION ALL
+  SELECT * REPLACE (tb_push + 1000 AS tb_push) FROM category_feature_src WHERE tb_ctr < 0.3)"""
+    numbered = """numbered AS (SELECT *, row_number() OVER () AS rid FROM with_cf)"""
+    f_ctes, src = topk_ctes("numbered", "feature", 6, [f"feature{i}" for i in range(1, 7)], ["rid"], ["ds"], "ft")
+    parts = [f_ctes]
+    for c in ["scenario", "brand_real", "audience"]:
+        ctes, src2 = topk_ctes(src, c, 2, [f"{c}_1", f"{c}_2"], ["rid"], ["ds"], c)
+        parts.append(ctes)
+        src = src2
+    parts.append(f"clean AS (SELECT * FROM {src})")
+    joined = WITH_CF.replace("category_feature_src", "cf2")
+    return ",\n".join([RAW_BASE, CLEAN_BASE, labelled("a"), cf, joined, numbered] + parts)
+
+
 RAW_BASE = ",\n".join([duck_ctes("label_src", "dua_src", "llm_src", "ici_src", "ssr_src",
                                  "category_feature_src", "blacklist_src"),
                        RAW_D1, LLM_PARSED, LLM_SSR, RAW])

@@ -38,7 +38,7 @@ FROM lineitem
 GROUP BY year(l_shipdate), l_partkey
 """
 
-DUA_SQL = """
+_DUA_ONE = """
 SELECT CAST(year(l.l_shipdate) AS STRING) AS ds,
        CASE WHEN p.p_size <= 45 THEN CAST(p.p_partkey AS STRING) END AS item_title,
        p.p_name AS title,
@@ -67,6 +67,18 @@ GROUP BY year(l.l_shipdate), p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_siz
          p.p_retailprice
 """
 
+# Some rows come twice, and some items have a second match with another shop.
+DUA_SQL = f"""
+SELECT * FROM ({_DUA_ONE}) a
+UNION ALL SELECT * FROM ({_DUA_ONE}) b WHERE row_num % 5 = 0
+UNION ALL SELECT ds, item_title, title, buy_num, click_num, coupons_share_url, goods_id, item_id,
+       {{q}}update{{q}}, row_num, item_id_temp, category_name, level_one_category_name, brand_name,
+       concat(shop_title, 'b') AS shop_title, weekly_order_cnt + 1 AS weekly_order_cnt, zk_final_price,
+       reserve_price, final_promotion_price, daily_browse_ratio, weekly_browse_ratio,
+       monthly_browse_ratio, daily_browse_cnt
+  FROM ({_DUA_ONE}) c WHERE row_num % 4 = 1
+"""
+
 LLM_SQL = """
 SELECT CAST(p_partkey AS STRING) AS item_title,
   CASE
@@ -95,7 +107,7 @@ SELECT CAST(p_partkey AS STRING) AS item_title,
 FROM part
 """
 
-ICI_SQL = """
+_ICI_ONE = """
 SELECT CAST(l_partkey AS STRING) AS title,
        CAST(l_partkey AS STRING) AS item_id,
        count(*) AS click_sum,
@@ -110,6 +122,13 @@ FROM lineitem
 GROUP BY l_partkey
 """
 
+# Some items have totals of two runs.
+ICI_SQL = f"""
+SELECT * FROM ({_ICI_ONE}) a
+UNION ALL SELECT title, item_id, click_sum + 1 AS click_sum, buy_sum, convert_rate, ici_push_total, gmv_sum,
+       commission_sum, ici, ici_card FROM ({_ICI_ONE}) b WHERE click_sum % 6 = 0
+"""
+
 
 def _stat(outer: str, a: str, b: str) -> str:
     """SQL building ``{"<outer>": {11 statistics}}`` text from integers."""

@@ -97,21 +97,3 @@ def release_shuffles(spark: SparkSession) -> None:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.4)
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops reading once the bound is exceeded, so the
-    check costs at most ``max_rows + 1`` rows of work however big ``df`` is.
-    This is the size proof used before any explicit broadcast.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    the written copy (a reliable checkpoint: it survives lost executors and
-    cuts the lineage, so later branches do not recompute the upstream)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)

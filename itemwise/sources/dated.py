@@ -16,15 +16,29 @@ def scan_dated(spark: SparkSession, root: str, prefix: str, schema: T.StructType
     """Read ``<root>/<prefix><day>/**.parquet`` for the given days (all days
     when ``days`` is None) as one DataFrame with a ``ds`` column taken from
     the folder name.  Non-parquet files in the folders are skipped; missing
-    columns in some files read as null (declared schema, or mergeSchema)."""
-    pattern = "{" + ",".join(days) + "}" if days else "*"
+    columns in some files read as null (declared schema, or mergeSchema).
+    With a declared schema a day without a folder, or with no parquet file,
+    has no rows, and no day at all gives the empty source."""
+    paths = [f"{root}/{prefix}{d}" for d in days] if days else [f"{root}/{prefix}*"]
+    if schema is not None:
+        paths = [p for p in paths if _exists(spark, p)]
+        if not paths:
+            return empty_like(spark, T.StructType([*schema.fields, T.StructField(ds, T.StringType())]))
     reader = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    df = reader.parquet(f"{root}/{prefix}{pattern}")
+    df = reader.parquet(*paths)
     day = F.regexp_extract(F.col("_metadata.file_path"), re.escape(prefix) + r"([0-9]+)", 1)
     return df.withColumn(ds, day)
 
 
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any folder matches, in whatever store the path names."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(conf).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty source with its declared columns, so later joins still work."""
     return spark.createDataFrame([], schema)
@@ -35,10 +49,6 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def available_days(stage: DataFrame, ds: str = "ds") -> DataFrame:
-    return stage.select(ds).distinct()
-
-
 def union_days(stage: DataFrame, days: Sequence[str], ds: str = "ds") -> DataFrame:
     """Rows of the wanted days from a ``ds``-partitioned stage (partition
     pruning reads only those folders).  A wanted day that is absent is

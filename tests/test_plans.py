@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from itemwise.functions.prefix import running_totals
 from itemwise.operators import clean as C
 from itemwise.plans import catalog as CT
+from itemwise.plans import prepare as PR
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def test_entry_returns_rows(spark):
 
 def test_clean_is_idempotent(spark):
     first = CT.Ctx(spark, SF).first_rows()
-    again = C.clean_items(first, order=[("click_num_x", False)])
+    again = C.clean_items(first, order=PR.DEDUP_ORDER)
     assert first.exceptAll(again).count() == 0 and again.exceptAll(first).count() == 0
 
 
@@ -64,3 +65,20 @@ def test_stream_matches_batch(spark):
     streamed = CT.QUERIES["streaming_daily_clean"](spark, SF)
     batch = CT.QUERIES["expand_tokens"](spark, SF)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_clean_drops_copies_and_second_matches(spark):
+    ctx = CT.Ctx(spark, SF)
+    nn = C.drop_null_key(ctx.raw())
+    assert ctx.first_rows().count() < nn.distinct().count() < nn.count()
+
+
+def test_label_distribution_parses_no_json(spark):
+    plan = CT.QUERIES["label_distribution"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 1
+
+
+def test_stage_reads_only_what_is_selected(spark):
+    clean = CT.Ctx(spark, SF).clean().select("ds", "title_x", "lable_x").where("ds = '1996'")
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "ReadSchema: struct<title_x:string,lable_x:int>" in plan
