@@ -36,7 +36,7 @@ from itemwise.llm import arrays as A
 _U = np.uint64
 MARK = 0x2581                # stands for a space in pieces
 LITERAL_MARK = 0x110000      # the mark character as it occurs in a text
-UNIT_BYTES = 5 << 20         # bytes of text whose units share one lattice
+UNIT_BYTES = 5 << 19         # bytes of text whose units share one lattice
 FALLBACK = -20.0             # log-weight of a character without a piece
 
 
@@ -107,36 +107,37 @@ class Lattice:
 
     def __init__(self, vocabulary: Vocabulary, chars: np.ndarray, offsets: np.ndarray):
         n, size = len(chars), np.diff(offsets)
-        unit = np.repeat(np.arange(len(size)), size)
-        end = offsets[1:][unit]
+        small = np.int32 if n + len(size) < 1 << 31 else np.int64
+        unit = np.repeat(np.arange(len(size), dtype=small), size)
+        end = offsets[1:].astype(small)[unit]
         # Pieces from every position: walk the trie until nothing is left.
-        start = np.arange(n)
-        node, begin, found = np.zeros(n, np.int64), start, []
+        node, begin, found = np.zeros(n, np.int64), np.arange(n, dtype=small), []
         length = 0
+        single = np.zeros(n, bool)
         while len(begin):
             node = vocabulary.step(node, chars[begin + length])
             length += 1
             alive = node >= 0
             begin, node = begin[alive], node[alive]
-            piece = vocabulary.piece[node]
+            piece = vocabulary.piece[node].astype(small)
             hit = piece >= 0
-            found.append((begin[hit], np.full(int(hit.sum()), length), piece[hit]))
+            found.append((begin[hit], begin[hit] + small(length), piece[hit]))
+            if length == 1:
+                single[begin[hit]] = True
             go = begin + length < end[begin]
             begin, node = begin[go], node[go]
-        source = np.concatenate([f[0] for f in found] or [start])
-        steps = np.concatenate([f[1] for f in found] or [start])
-        piece = np.concatenate([f[2] for f in found] or [start])
-        single = np.zeros(n, bool)
-        single[source[steps == 1]] = True
-        bare = np.flatnonzero(~single)
+        # A character without a piece of its own is an edge of its bytes.
+        bare = np.flatnonzero(~single).astype(small)
+        found.append((bare, bare + small(1), -1 - bare))
+        source, target, edge_piece = (np.concatenate([f[i] for f in found]) for i in range(3))
+        del found, end, begin, node, single
         # Nodes: unit u has nodes offsets[u] + u .. offsets[u + 1] + u.
-        source = np.concatenate((source, bare))
-        target = source + np.concatenate((steps, np.ones(len(bare), np.int64))) + unit[source]
-        edge_piece = np.concatenate((piece, -1 - bare))
-        weight = np.concatenate((vocabulary.weight[piece], np.full(len(bare), FALLBACK)))
+        target += unit[source]
+        source += unit[source]
         order = np.argsort(target, kind="stable")
-        target, edge_piece, weight = target[order], edge_piece[order], weight[order]
-        source = source[order] + unit[source[order]]
+        source, target, edge_piece = source[order], target[order], edge_piece[order]
+        del order
+        weight = np.where(edge_piece >= 0, vocabulary.weight[np.maximum(edge_piece, 0)], FALLBACK)
         nodes = n + len(size)
         self.first = offsets[:-1] + np.arange(len(size))        # start node of a unit
         self.last = offsets[1:] + np.arange(len(size))          # end node
