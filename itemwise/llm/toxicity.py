@@ -132,9 +132,9 @@ def train(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, factors:
             error = (p - labels[order[lo:lo + BATCH]]) / len(part)
             e = np.repeat(error, np.diff(a))
             used, where = np.unique(c, return_inverse=True)
-            gw = np.bincount(where, e * x, len(used)) + DECAY * model.linear[used]
+            gw = np.bincount(where, e * x, len(used)).astype(float) + DECAY * model.linear[used]
             gv = (e * x)[:, None] * (np.repeat(total, np.diff(a), axis=0) - vx)
-            gv = np.stack([np.bincount(where, gv[:, k], len(used)) for k in range(factors)], 1)
+            gv = np.stack([np.bincount(where, gv[:, k], len(used)) for k in range(factors)], 1).astype(float)
             gv += DECAY * model.factors[used]
             seen_w[used] += gw ** 2
             seen_v[used] += gv ** 2
