@@ -22,6 +22,8 @@ ignored.
 from __future__ import annotations
 
 import json
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -37,10 +39,11 @@ from pyspark.sql import functions as F
 from itemwise.llm import files
 from itemwise.session import scratch_path, write_scratch
 
+_WHITE = re.compile(r"\s")
 MAGIC = b"ITWM0001"
 BLOCK = 512                  # bits between stored ranks
 SHARD_TOKENS = 4_000_000
-CACHE_WORDS = 400_000        # distinct words whose ids a worker keeps
+CACHE_WORDS = 800_000        # distinct words whose ids a worker keeps
 END = 0
 
 
@@ -50,11 +53,14 @@ class Encoder:
     _made: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
@@ -65,10 +71,25 @@ class Encoder:
         return cls._made[path]
 
     def _learn(self, known: dict, words: list[str], lead: str) -> None:
-        fit = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        done = self.tokenizer.encode_batch_fast([lead + w for w in fit], add_special_tokens=False)
+        """Ids of new words; None for those with white space at an end."""
         known.update(dict.fromkeys(words))
-        known.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(fit, done))
+        plain = [w for w in words if w and not _WHITE.search(w)]
+        if lead:
+            # One call for all: each starts with the only space in it, so with
+            # the only token that starts with a space.
+            done = self.tokenizer.encode_batch_fast([lead + lead.join(plain)], add_special_tokens=False)
+            ids = np.array(done[0].ids, self.type) if plain else np.zeros(0, self.type)
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) != len(plain):
+                raise ValueError("the tokenizer joins words across a space")
+            ends = (np.append(at, len(ids))[1:] * self.type.itemsize).tolist()
+            raw = ids.tobytes()
+            known.update(zip(plain, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+            rest = [w for w in words if w and _WHITE.search(w) and not w[0].isspace() and not w[-1].isspace()]
+        else:
+            rest = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        done = self.tokenizer.encode_batch_fast([lead + w for w in rest], add_special_tokens=False)
+        known.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(rest, done))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
