@@ -49,18 +49,26 @@ def _seeds(words: Column, place: Column, n: Column, masks: list[str]) -> Column:
 
 
 def _places(frame: DataFrame, masks: list[str]) -> DataFrame:
-    """A row (place, h) for each seed of the frame's ``w``."""
+    """A row (place, h) for each seed of the frame's ``w``.  The outer form
+    keeps Spark from pushing a second split of the text below the explode."""
     shortest = min(map(len, masks))
-    frame = frame.where(F.size("w") >= shortest)
-    frame = frame.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("w") - shortest)))
+    last = F.size("w") - shortest
+    places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
+    frame = frame.withColumn("place", F.explode_outer(places)).where("place IS NOT NULL")
     frame = frame.withColumn("h", F.explode(_seeds(F.col("w"), F.col("place"), F.size("w"), masks)))
-    return frame.where("h is not null")
+    return frame.where("h IS NOT NULL")
 
 
-def _matched(words: Column, item: Column, shift: Column) -> Column:
-    """Number of the item's words that equal the document's at this shift."""
+def _beside(words: Column, shift: Column, n: Column) -> Column:
+    """The words that lie beside an item of n words at this shift."""
+    return F.slice(words, F.greatest(shift, F.lit(0)) + 1, n + F.least(shift, F.lit(0)))
+
+
+def _matched(beside: Column, item: Column, shift: Column) -> Column:
+    """Number of the item's words that equal the words beside them."""
+    skip = F.greatest(-shift, F.lit(0))
     equal = F.transform(item, lambda x, j: F.when(
-        (j + shift >= 0) & (x == F.get(words, j + shift)), 1).otherwise(0))
+        (j >= skip) & (x == F.get(beside, j - skip)), 1).otherwise(0))
     return F.aggregate(equal, F.lit(0), lambda a, e: a + e)
 
 
@@ -72,7 +80,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: list[str] = MASKS, max_s
     """(doc_id, th, item_id, item_words, matched) of every document and item
     that leaks into it; ``docs`` is ``repeats.identified(...)``."""
     items = (benchmark.select("item_id", words_of("text").alias("iw"))
-             .where(F.size("iw") >= LEAST_WORDS).dropDuplicates(["item_id", "iw"]))
+             .where(F.size("iw") >= LEAST_WORDS).dropDuplicates(["item_id", "iw"])
+             .withColumn("ik", F.xxhash64("item_id", "iw")))
     # One small pass over the benchmark: its seeds, and whether any item needs the short mask.
     size = items.agg(F.coalesce(F.sum(F.size("iw")), F.lit(0)).alias("n"),
                      F.coalesce(F.min(F.size("iw")), F.lit(0)).alias("least")).first()
@@ -82,21 +91,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: list[str] = MASKS, max_s
     if len(used) > len(masks):   # the short mask only for items that need it
         plain = _places(items.where(F.size("iw") < short).withColumnRenamed("iw", "w"), used)
         seeds = _places(items.where(F.size("iw") >= short).withColumnRenamed("iw", "w"), masks).unionByName(plain)
-    seeds = seeds.select(F.col("item_id"), F.col("w").alias("iw"), F.col("place").alias("ip"), "h")
+    seeds = seeds.select("ik", F.size("w").alias("n"), F.col("place").alias("ip"), "h")
     texts = docs.select("doc_id", "th", words_of("text").alias("w"))
     shift = F.col("place") - F.col("ip")
+    where = ["doc_id", "th", "ik", "shift"]
     if size.n * len(used) <= max_seeds:
-        met = _places(texts, used).join(F.broadcast(seeds), "h").withColumn("shift", shift)
+        hits = _places(texts, used).join(F.broadcast(seeds), "h")
+        # One row for each way that two texts lie; only the words beside the item go on.
+        hits = hits.select("doc_id", "th", "ik", shift.alias("shift"), _beside(F.col("w"), shift, F.col("n")).alias("b"))
+        met = hits.groupBy(*where).agg(F.first("b").alias("b"))
     else:
         places = _places(texts, used).select("doc_id", "th", "place", "h")
-        hits = (places.join(seeds.select("item_id", "ip", "h"), "h")
-                .select("doc_id", "th", "item_id", shift.alias("shift")).distinct())
+        hits = places.join(seeds, "h").select("doc_id", "th", "ik", shift.alias("shift"), "n").distinct()
         hits = write_scratch(hits, "seed-hits")
-        on = R.same(texts, hits, R.ROW)
-        met = texts.join(hits, on).select(texts["doc_id"], texts["th"], "w", hits["item_id"], "shift")
-        met = met.join(items.withColumnRenamed("item_id", "__item"), F.col("item_id").eqNullSafe(F.col("__item")))
-    met = met.select("doc_id", "th", "item_id", F.size("iw").alias("item_words"),
-                     _matched(F.col("w"), F.col("iw"), F.col("shift")).alias("matched"))
+        met = texts.join(hits, R.same(texts, hits, R.ROW)).select(
+            texts["doc_id"], texts["th"], "ik", "shift", _beside(F.col("w"), F.col("shift"), F.col("n")).alias("b"))
+    met = met.join(items, "ik").select("doc_id", "th", "item_id", F.size("iw").alias("item_words"),
+                                       _matched(F.col("b"), F.col("iw"), F.col("shift")).alias("matched"))
     return (met.where(F.col("matched") >= _needed(F.col("item_words")))
             .groupBy("doc_id", "th", "item_id")
             .agg(F.max("item_words").cast("long").alias("item_words"), F.max("matched").cast("long").alias("matched")))
