@@ -84,8 +84,9 @@ def test_cut_texts_keep_columns_and_whole_characters(spark):
     shared = "ü" * 300
     docs = cases.frame(spark, ["a" + shared, "bcd" + shared + "é", "clean", None], start=1)
     rows = {r.doc_id: r for r in suffix.cut_repeats(docs).collect()}
-    assert [rows[i].text for i in (1, 2, 3, 4)] == ["a", "bcdé", "clean", ""]
-    assert rows[2].n_chars == 4 and rows[1].spans == "s" and rows[1].th == "t"
+    # The first byte of é also follows 399 bytes of the shared run inside the run.
+    assert [rows[i].text for i in (1, 2, 3, 4)] == ["a", "bcd", "clean", ""]
+    assert rows[2].n_chars == 3 and rows[1].spans == "s" and rows[1].th == "t"
     assert suffix.cut_repeats(docs).columns == docs.columns
 
 
