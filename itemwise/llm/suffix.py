@@ -18,6 +18,7 @@ repeat a doc_id) are repeats of each other; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,9 @@ from itemwise.session import release_shuffles, write_scratch
 
 _U = np.uint64
 GRAM = 48            # bytes of an anchor
-CROWD = 512          # distinct chunks of one anchor that still share a suffix array
+CROWD = 512          # distinct chunks of one anchor that still share a full suffix array
+HUGE = 50_000        # distinct chunks of one anchor that a task may hold (some 30 MB)
+ORDER_BITS = 28      # low bits of an anchor's rank that hold its place; equal ranks: leftmost
 BUFFER = 1 << 20     # bytes of chunk text in one suffix array
 ANCHOR_SCHEMA = "key long, fp long, doc_id long, th int, at long, n int"
 
@@ -58,7 +61,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray, width: int, gram: int):
     sums = A.byte_sums(data)
     inverse = A.powers(n + 1)[1]
     grams = A.mix((sums[gram:] - sums[:-gram]) * inverse[:n - gram + 1])
-    bits = _U(n.bit_length())
+    bits = _U(max(ORDER_BITS, n.bit_length()))
     low = (_U(1) << bits) - _U(1)
     order = (grams & ~low) | np.arange(len(grams), dtype=_U)
     least = sliding_min(order, width - gram + 1)
@@ -242,6 +245,108 @@ def _repeat_batches(width: int, buffer: int):
     return run
 
 
+def _neighbour_prefix(texts: list[bytes]) -> tuple[list[int], np.ndarray]:
+    """Sorted order of the texts and common prefix lengths of neighbours."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out = np.zeros(max(len(texts) - 1, 0), np.int64)
+    longest = max(map(len, texts), default=0) + 1
+    for lo in range(0, len(out), 4096):
+        part = [texts[i] for i in order[lo:lo + 4097]]
+        size = np.array([len(t) for t in part])
+        grid = np.zeros((len(part), longest), np.int16)
+        grid[np.arange(longest) < size[:, None]] = np.frombuffer(b"".join(part), np.uint8).astype(np.int16) + 1
+        differ = grid[:-1] != grid[1:]
+        same = np.where(differ.any(axis=1), differ.argmax(axis=1), size[:-1])
+        out[lo:lo + len(part) - 1] = np.minimum(same, np.minimum(size[:-1], size[1:]))
+    return order, out
+
+
+def anchored_reach(texts: list[bytes], at: list[int], least: int) -> tuple[list[int], list[int]]:
+    """How far to the left and right of its anchor ``at`` each chunk is
+    covered by repeats of at least ``least`` bytes that hold the anchor (-1:
+    not at all).  Interval tree of the suffixes from the anchors; members of
+    an interval are kept in the order of their reversed prefixes, where the
+    nearest members agree furthest."""
+    m = len(texts)
+    order, right = _neighbour_prefix([t[a:] for t, a in zip(texts, at)])
+    left_order, left = _neighbour_prefix([t[:a][::-1] for t, a in zip(texts, at)])
+    rank = [0] * m
+    for i, x in enumerate(left_order):
+        rank[x] = i
+    table = [left]
+    while len(table[-1]) > 1 << (len(table) - 1):
+        t, half = table[-1], 1 << (len(table) - 1)
+        table.append(np.minimum(t[:-half], t[half:]))
+    table = [t.tolist() for t in table]
+    by_rank = left_order
+    reach_l, reach_r = [-1] * m, [-1] * m
+
+    def meet(x: int, y: int, r: int) -> None:
+        """Members of ranks x < y agree for r bytes to the right."""
+        k = (y - x).bit_length() - 1
+        both = min(table[k][x], table[k][y - (1 << k)])
+        if both + r >= least:
+            for i in (by_rank[x], by_rank[y]):
+                reach_l[i] = max(reach_l[i], both)
+                reach_r[i] = max(reach_r[i], r)
+
+    def merge(big: list[int], small: list[int], r: int) -> list[int]:
+        if len(big) < len(small):
+            big, small = small, big
+        for x in small:
+            i = bisect_left(big, x)
+            if i:
+                meet(big[i - 1], x, r)
+            if i < len(big):
+                meet(x, big[i], r)
+            big.insert(i, x)
+        return big
+
+    stack: list[tuple[int, list[int]]] = []       # (common prefix with what follows, members)
+    for i in range(m):
+        members = [rank[order[i]]]
+        here = int(right[i]) if i < m - 1 else -1
+        while stack and stack[-1][0] >= here:
+            r, before = stack.pop()
+            members = merge(before, members, r)
+        stack.append((here, members))
+    return reach_l, reach_r
+
+
+def _reach_batches(width: int, gram: int):
+    """Covered range (key, fp, s, e) of the chunks of crowded anchors, from
+    rows (key, fp, n, chunk) sorted by key."""
+    def solve(key, fps, texts):
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        begin = np.cumsum([0] + [len(t) for t in texts[:-1]])
+        sums, inverse = A.byte_sums(data), A.powers(len(data) + 1)[1]
+        at = []
+        for b in begin.tolist():                   # the first window's anchor is the chunk's
+            grams = A.mix((sums[b + gram:b + width + 1] - sums[b:b + width - gram + 1])
+                          * inverse[b:b + width - gram + 1])
+            at.append(int(np.argmin(grams >> _U(ORDER_BITS))))
+        l, r = anchored_reach(texts, at, width)
+        rows = [(fp, a - x, a + y) for fp, a, x, y in zip(fps, at, l, r) if x >= 0]
+        columns = list(zip(*rows)) or [[], [], []]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key] * len(rows), pa.int64()), *(pa.array(c, pa.int64()) for c in columns),
+             pa.nulls(len(rows), pa.int64())], ["key", "fp", "s", "e", "grp"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, fps, texts = None, [], []
+        for batch in batches:
+            for key, fp, chunk in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
+                if texts and key != now:
+                    yield solve(now, fps, texts)
+                    fps, texts = [], []
+                now = key
+                fps.append(fp)
+                texts.append(chunk)
+        if texts:
+            yield solve(now, fps, texts)
+    return run
+
+
 def _window_batches(width: int):
     """(key, fp, w, s): hash of every window of the given chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +368,7 @@ def _window_batches(width: int):
 
 
 def repeated_chunks(docs: DataFrame, width: int = 400, gram: int = GRAM, crowd: int = CROWD,
-                    buffer: int = BUFFER) -> tuple[DataFrame, DataFrame, DataFrame]:
+                    huge: int = HUGE, buffer: int = BUFFER) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(found, each, spans): all chunks that may repeat, their classes, and
     the ranges (key, fp, s, e, grp) of a class's chunk covered by maximal
     repeats.  ``docs`` is ``repeats.identified(...)``."""
@@ -278,15 +383,20 @@ def repeated_chunks(docs: DataFrame, width: int = 400, gram: int = GRAM, crowd:
         _chunk_texts(width), "key long, fp long, k long, n int, chunk binary")
     texts = write_scratch(texts, "byte-chunk-texts")
     release_shuffles(docs.sparkSession)
-    sorted_texts = (texts.where(F.col("k") <= crowd).select("key", "fp", "n", "chunk")
-                    .repartition("key").sortWithinPartitions("key", "fp"))
-    spans = sorted_texts.mapInArrow(_repeat_batches(width, buffer), "key long, fp long, s long, e long, grp long")
-    windows = (texts.where(F.col("k") > crowd).select("key", "fp", "n", "chunk")
+    row, spans_of = ["key", "fp", "n", "chunk"], "key long, fp long, s long, e long, grp long"
+
+    def by_key(part: DataFrame) -> DataFrame:
+        return part.select(*row).repartition("key").sortWithinPartitions("key", "fp")
+
+    k = F.col("k")
+    spans = by_key(texts.where(k <= crowd)).mapInArrow(_repeat_batches(width, buffer), spans_of)
+    crowded = by_key(texts.where((k > crowd) & (k <= huge))).mapInArrow(_reach_batches(width, gram), spans_of)
+    windows = (texts.where((k > crowd) & (k > huge)).select(*row)
                .mapInArrow(_window_batches(width), "key long, fp long, w long, s long"))
     twice = windows.groupBy("key", "w").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    crowded = (windows.join(twice, ["key", "w"])
-               .select("key", "fp", "s", (F.col("s") + width).alias("e"), F.lit(None).cast("long").alias("grp")))
-    return found, each, spans.unionByName(crowded)
+    rest = (windows.join(twice, ["key", "w"])
+            .select("key", "fp", "s", (F.col("s") + width).alias("e"), F.lit(None).cast("long").alias("grp")))
+    return found, each, spans.unionByName(crowded).unionByName(rest)
 
 
 def repeated_spans(docs: DataFrame, width: int = 400, **options) -> DataFrame:
@@ -305,34 +415,54 @@ def repeated_spans(docs: DataFrame, width: int = 400, **options) -> DataFrame:
     return whole.unionByName(part)
 
 
+def _remaining(text: np.ndarray, spans: pa.Scalar) -> tuple[np.ndarray, int]:
+    """Bytes outside the ranges, and the number of maximal removed runs."""
+    if not spans.is_valid:
+        return text, 0
+    starts, ends = spans.values.flatten()
+    gone = A.covered(len(text), np.asarray(starts), np.asarray(ends))
+    return text[~gone], int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+
+
 def _kept_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, at = A.texts_of(batch.column(2))
-        spans = batch.column(3)
-        n_bytes, n_removed, n_spans, kept = [], [], [], []
-        for i in range(batch.num_rows):
-            own = data[at[i]:at[i + 1]]
-            total, runs = len(own), 0
-            if spans[i].is_valid:
-                pairs = spans[i].values.flatten()
-                gone = A.covered(total, np.asarray(pairs[0]), np.asarray(pairs[1]))
-                runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-                own = own[~gone]
-            n_bytes.append(total)
-            n_removed.append(total - len(own))
-            n_spans.append(runs)
-            kept.append(own.tobytes())
+        data, at = A.texts_of(batch.column(1))
+        both = [_remaining(data[at[i]:at[i + 1]], batch.column(2)[i]) for i in range(batch.num_rows)]
+        total = np.diff(at)
+        kept = np.array([len(k) for k, _ in both], np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()),
-             pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
+            [batch.column(0), pa.array(total), pa.array(total - kept), pa.array([n for _, n in both], pa.int64()),
+             pa.array([k.tobytes() for k, _ in both], pa.binary())],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def suffix_dedup(docs: DataFrame, width: int = 400, **options) -> DataFrame:
     """Every document without its repeated bytes: doc_id, n_bytes, n_removed,
     n_spans (maximal removed runs) and kept (remaining bytes)."""
-    docs = R.identified(docs)
-    marked = R.with_spans(docs, repeated_spans(docs, width, **options))
+    marked = R.with_spans(docs.select("doc_id", "text"), repeated_spans(R.identified(docs), width, **options))
     kind = dict(docs.dtypes)["doc_id"]
     return marked.mapInArrow(
         _kept_batches, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def _cut_batches(at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = A.texts_of(batch.column(at))
+            spans = batch.column(batch.num_columns - 1)
+            texts = [_remaining(data[ends[i]:ends[i + 1]], spans[i])[0].tobytes().decode(errors="ignore")
+                     for i in range(batch.num_rows)]
+            columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+    return run
+
+
+def cut_repeats(docs: DataFrame, width: int = 400, **options) -> DataFrame:
+    """``docs``, all columns, with the repeated bytes cut from its texts (a
+    character of which a byte is cut goes as a whole; null becomes empty);
+    ``n_chars``, if there is one, follows."""
+    marked = R.with_spans(docs, repeated_spans(R.identified(docs), width, **options))
+    out = marked.mapInArrow(_cut_batches(docs.columns.index("text")), docs.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
