@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -39,11 +38,10 @@ from pyspark.sql import functions as F
 from itemwise.llm import files
 from itemwise.session import scratch_path, write_scratch
 
-_WHITE = re.compile(r"\s")
 MAGIC = b"ITWM0001"
 BLOCK = 512                  # bits between stored ranks
 SHARD_TOKENS = 4_000_000
-CACHE_WORDS = 800_000        # distinct words whose ids a worker keeps
+CACHE_WORDS = 1_600_000      # distinct words whose ids a worker keeps (some 200 bytes each)
 END = 0
 
 
@@ -72,8 +70,10 @@ class Encoder:
 
     def _learn(self, known: dict, words: list[str], lead: str) -> None:
         """Ids of new words; None for those with white space at an end."""
-        known.update(dict.fromkeys(words))
-        plain = [w for w in words if w and not _WHITE.search(w)]
+        plain = [w for w in words if w.isprintable() and w]    # printable: no white space but the space
+        other = [w for w in words if not w.isprintable() or not w]
+        fit = [w for w in other if w and not w[0].isspace() and not w[-1].isspace()]
+        known.update(dict.fromkeys(other))
         if lead:
             # One call for all: each starts with the only space in it, so with
             # the only token that starts with a space.
@@ -85,11 +85,10 @@ class Encoder:
             ends = (np.append(at, len(ids))[1:] * self.type.itemsize).tolist()
             raw = ids.tobytes()
             known.update(zip(plain, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-            rest = [w for w in words if w and _WHITE.search(w) and not w[0].isspace() and not w[-1].isspace()]
         else:
-            rest = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        done = self.tokenizer.encode_batch_fast([lead + w for w in rest], add_special_tokens=False)
-        known.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(rest, done))
+            fit += plain
+        done = self.tokenizer.encode_batch_fast([lead + w for w in fit], add_special_tokens=False)
+        known.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(fit, done))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
