@@ -12,9 +12,12 @@ by a sketch of the signature and then verified exactly on the shingles, and
 the verified links' connected components are the classes.
 
 Equal texts are one node from the start, so copies are never paired.  Bucket
-members are compared with two leaders that differ from bucket to bucket, not
-with each other: linear work for a group of any size, and a further round
-compares what is still apart.
+members are first compared with two leaders that differ from bucket to
+bucket, which joins a group of any size with linear work.  A last round
+compares all members of a bucket that are still in different components, in
+tiles, so that every pair that shares a bucket was compared or is in one
+class: only members that are unlike each other cost a comparison for each
+pair.
 
 Input handling: texts without words (null, empty, white space) are classes
 of their own; a text of fewer than five words is one shingle; ``class_id`` is
@@ -44,6 +47,8 @@ DARTS = COORDINATES * (np.log(COORDINATES) + 2)   # expected darts of a document
 SKETCH = 64          # coordinates, of 8 bits, in the sketch that sifts pairs
 # Four standard deviations of the sketch's estimate below the similarity.
 SIFT = SIMILARITY - 4 * float(np.sqrt(SIMILARITY * (1 - SIMILARITY) / SKETCH))
+TILE = 256           # members of a bucket that meet the members of another tile in one step
+PAIRS = 1 << 16      # pairs of a tile that are sifted at once
 _RANK_BITS = 21
 _POISSON = np.cumsum([np.exp(-1.0) / float(np.prod(np.arange(1, j + 1))) for j in range(12)])
 
@@ -146,24 +151,137 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 [batch.column(0).slice(lo, hi - lo), pa.array(raw, pa.binary())], ["node", "units"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= least * (len(both) - common)
+
+
 def _verify_batches(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(j)[i].as_buffer(), np.uint32) for j in (2, 3))
-                if min(len(x), len(y)) < least * max(len(x), len(y)):
-                    continue
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                if common >= least * (len(both) - common):
+                if _similar(x, y, least):
                     keep.append(i)
             rows = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
     return run
 
 
+def _tile_links(rows: pa.Table, sift: float, least: float) -> list[tuple[int, int]]:
+    """Verified links between the components of each cell's rows, which are
+    sorted by (band, x, y, side); a pair counts in its first common band."""
+    band, x, y, side, node, root = (rows.column(i).to_numpy() for i in range(6))
+    bands = rows.column(6).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    sketch = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint8).reshape(-1, SKETCH)
+    own = x == y
+    new = np.concatenate(([True], (band[1:] != band[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+    head = np.flatnonzero(new)
+    width = np.diff(np.append(head, len(band)))
+    end = np.repeat(head + width, width)
+    across = end - np.repeat(np.add.reduceat(side.astype(np.int64), head), width)
+    start = np.where(own, np.arange(len(band)) + 1, across)
+    count = np.where(own | (side == 0), end - start, 0)
+    done = np.cumsum(count)
+    units = rows.column(8)
+    part: dict[int, np.ndarray] = {}
+    up: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while up.get(r, r) != r:
+            r = up[r]
+        return r
+
+    def read(i: int) -> np.ndarray:
+        if i not in part:
+            part[i] = np.frombuffer(units[i].as_buffer(), np.uint32)
+        return part[i]
+
+    links, lo = [], 0
+    while lo < len(band):
+        hi = max(int(np.searchsorted(done, (done[lo - 1] if lo else 0) + PAIRS, "right")), lo + 1)
+        i = np.repeat(np.arange(lo, hi), count[lo:hi])
+        j = A.concat_ranges(start[lo:hi], count[lo:hi])
+        lo = hi
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        alike = (sketch[i] == sketch[j]).mean(axis=1) >= sift
+        i, j = i[alike], j[alike]
+        first = ((bands[i] == bands[j]) & (bands[i] != 0)).argmax(axis=1)
+        here = bands[i, first] == band[i]
+        for a, b in zip(i[here].tolist(), j[here].tolist()):
+            ra, rb = top(int(root[a])), top(int(root[b]))
+            if ra != rb and _similar(read(a), read(b), least):
+                up[ra] = rb
+                links.append((int(node[a]), int(node[b])))
+    return links
+
+
+def _tile_batches(sift: float, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            links = _tile_links(rows, sift, least)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+            if not rows.num_rows:
+                continue
+            cell = [rows.column(i).to_numpy() for i in range(3)]
+            last = np.logical_and.reduce([c == c[-1] for c in cell])
+            cut = int(np.flatnonzero(last)[0])      # the last cell may go on in the next batch
+            if cut:
+                yield out(rows.slice(0, cut).combine_chunks())
+            rest = rows.slice(cut)
+        if rest is not None:
+            yield out(rest.combine_chunks())
+    return run
+
+
+def _mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, node, root): members of the buckets that hold several
+    components and more pairs than those with the two leaders."""
+    rooted = nodes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "bands")
+    members = rooted.select("node", "root", F.explode("bands").alias("band")).where("band != 0")
+    several = members.groupBy("band").agg(
+        F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("c > 3 AND lo < hi")
+    return members.join(several.select("band"), "band").select("band", "node", "root")
+
+
+def _cells(mixed: DataFrame) -> DataFrame:
+    """A row (band, x, y, side) of a member for each cell, a pair of tiles of
+    its bucket.  Members of the bucket's largest component (tiles below 0)
+    meet only the others; the others meet all."""
+    sizes = (mixed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
+             .agg(F.sum("n").alias("c"), F.max("n").alias("most"), F.max_by("root", "n").alias("top")))
+    tiles = sizes.select("band", "top", F.ceil(F.col("most") / TILE).cast("int").alias("nt"),
+                         F.ceil((F.col("c") - F.col("most")) / TILE).cast("int").alias("no"))
+    in_top = F.col("root") == F.col("top")
+    tile = F.pmod(F.xxhash64("node", "band"), F.when(in_top, F.col("nt")).otherwise(F.col("no"))).cast("int")
+
+    def cell(x, y, side):
+        return F.struct(x.alias("x"), y.alias("y"), side.cast("int").alias("side"))
+
+    def each(n, make):
+        return F.transform(F.sequence(F.lit(0), F.col(n) - 1), make)
+
+    t = F.col("tile")
+    low = each("no", lambda j: cell(-1 - t, j, F.lit(0)))
+    rest = F.concat(each("no", lambda j: cell(F.least(t, j), F.greatest(t, j), t > j)),
+                    each("nt", lambda k: cell(-1 - k, t, F.lit(1))))
+    placed = mixed.join(tiles, "band").withColumn("tile", tile)
+    placed = placed.withColumn("cell", F.explode(F.when(in_top, low).otherwise(rest)))
+    return placed.select("band", "cell.x", "cell.y", "cell.side", "node", "root")
+
+
 def _candidate_pairs(nodes: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b: bucket members and the bucket's two leaders."""
     members = nodes.select("node", F.explode("bands").alias("band")).where("band != 0")
@@ -205,11 +323,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         _sift_batches(SIFT + similarity - SIMILARITY), "a long, b long, alike double")
     pairs = write_scratch(pairs, "pairs")
     release_shuffles(spark)
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-              .join(nodes.select("node", F.col("doc_id").alias("one")), "node"))
-    texts = docs.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("one"))).select("node", "text")
-    shingles = write_scratch(texts.mapInArrow(_unit_batches, "node long, units binary")
+
+    def shingled(some: DataFrame) -> DataFrame:
+        wanted = some.join(nodes.select("node", F.col("doc_id").alias("one")), "node")
+        texts = docs.join(wanted, "node").where(F.col("doc_id").eqNullSafe(F.col("one"))).select("node", "text")
+        return write_scratch(texts.mapInArrow(_unit_batches, "node long, units binary")
                              .dropDuplicates(["node"]), "shingles")
+
+    shingles = shingled(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     release_shuffles(spark)
 
     def verified(part: DataFrame) -> DataFrame:
@@ -221,7 +342,23 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = write_scratch(verified(best), "near")
     labels = write_scratch(components(links), "labels")
     more = write_scratch(verified(_apart(pairs, labels)), "near")
-    labels = components(links.unionByName(more))
+    links = links.unionByName(more)
+    labels = write_scratch(components(links), "labels")
+    # Then what shares a bucket, led by others, and is still apart.
+    mixed = write_scratch(_mixed(nodes, labels), "mixed")
+    release_shuffles(spark)
+    if not mixed.isEmpty():
+        some = mixed.select("node").distinct()
+        units_of = shingles.join(some, "node", "left_semi").unionByName(
+            shingled(some.join(shingles, "node", "left_anti")))
+        rows = (_cells(mixed).join(nodes.select("node", "bands", "sketch"), "node").join(units_of, "node")
+                .select("band", "x", "y", "side", "node", "root", "bands", "sketch", "units")
+                .repartition("band", "x", "y").sortWithinPartitions("band", "x", "y", "side"))
+        last = rows.mapInArrow(_tile_batches(SIFT + similarity - SIMILARITY, similarity), "a long, b long")
+        last = write_scratch(last, "near")
+        release_shuffles(spark)
+        if not last.isEmpty():
+            labels = components(links.unionByName(last))
     rooted = nodes.join(labels, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"), "doc_id", "c")
     rooted = write_scratch(rooted, "rooted")

@@ -63,6 +63,25 @@ def test_classes_match_brute_force(spark):
     assert max(kept.values()) == 1 and sum(kept.values()) == len(brute_classes(rows))
 
 
+def test_crowd_hides_no_pairs(spark, monkeypatch):
+    """A crowd at about 0.75 by a shared passage holds pairs above 0.8 whose
+    ends are both below 0.8 to the leaders of the crowd's buckets."""
+    rnd = random.Random(11)
+    passage, made = cases.words(rnd, 172, 10**6), []
+    for _ in range(70):
+        shared = cases.words(rnd, 9, 10**6)
+        made += [f"{passage} {shared} {cases.words(rnd, 19, 10**6)}" for _ in range(2)]
+    rows = list(enumerate(made))
+    want = {tuple(sorted(g)) for g in brute_classes(rows)}
+    assert len(want) == 70
+    for tile in (minhash.TILE, 16):
+        monkeypatch.setattr(minhash, "TILE", tile)
+        got = collections.defaultdict(list)
+        for r in minhash.near_duplicates(cases.frame(spark, made[:], start=1)).collect():
+            got[r.class_id].append(r.doc_id - 1)
+        assert {tuple(sorted(g)) for g in got.values()} == want
+
+
 def test_no_documents_and_no_pairs(spark):
     assert minhash.near_duplicates(cases.empty(spark)).count() == 0
     lone = cases.frame(spark, ["a b c d e f", None, ""], start=5)
