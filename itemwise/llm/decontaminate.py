@@ -6,16 +6,19 @@ at its wanted places are hashed, so a changed word at an ignored place does
 not hide a copy.  Seeds of documents and benchmark items are joined; a hit
 fixes how the two texts lie to each other, and there all words of the item
 are compared: an item leaks if at least ``TOLERANCE`` percent of ``EXTENT``
-words (of the whole item if it is shorter) are equal.
+words (of the whole item if it is shorter) are equal.  The light masks of
+``COVER`` join the fixed ones: wherever the words lie that ``TOLERANCE``
+allows to differ within ``EXTENT`` words or a shorter item, one of them is
+intact, so no such copy is without a hit.
 
 The benchmark's seeds are broadcast after a check of their number; a larger
 benchmark goes through a shuffle join that carries places instead of texts.
 
 Input handling: words are lower-case runs of letters and digits; null texts
 have none; items of fewer than ``LEAST_WORDS`` words are no evidence and
-never leak, items shorter than the masks use a plain seed of
-``LEAST_WORDS``; repeated rows give repeated pairs once; a null id is kept as
-null; other columns are ignored.
+never leak, items shorter than a mask use the shorter ones; repeated rows
+give repeated pairs once; a null id is kept as null; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ from itemwise.session import write_scratch
 
 # Fixed masks: 1 = hashed, 0 = ignored.
 MASKS = ["110100110101", "111010010011"]
+# For an item of any number of words from LEAST_WORDS on, every choice of the
+# words that may differ leaves one of these intact (the test enumerates them).
+COVER = ["1111", "11101", "11011", "10111"]
 LEAST_WORDS = 5
 EXTENT = 20
 TOLERANCE = 80
@@ -82,20 +88,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: list[str] = MASKS, max_s
     items = (benchmark.select("item_id", words_of("text").alias("iw"))
              .where(F.size("iw") >= LEAST_WORDS).dropDuplicates(["item_id", "iw"])
              .withColumn("ik", F.xxhash64("item_id", "iw")))
-    # One small pass over the benchmark: its seeds, and whether any item needs the short mask.
-    size = items.agg(F.coalesce(F.sum(F.size("iw")), F.lit(0)).alias("n"),
-                     F.coalesce(F.min(F.size("iw")), F.lit(0)).alias("least")).first()
-    used = [*masks, "1" * LEAST_WORDS] if 0 < size.least < max(map(len, masks)) else list(masks)
-    short = max(map(len, masks))
+    # One small pass over the benchmark: the number of its seeds.
+    n_words = items.agg(F.coalesce(F.sum(F.size("iw")), F.lit(0)).alias("n")).first().n
+    used = [*masks, *COVER]
     seeds = _places(items.withColumnRenamed("iw", "w"), used)
-    if len(used) > len(masks):   # the short mask only for items that need it
-        plain = _places(items.where(F.size("iw") < short).withColumnRenamed("iw", "w"), used)
-        seeds = _places(items.where(F.size("iw") >= short).withColumnRenamed("iw", "w"), masks).unionByName(plain)
     seeds = seeds.select("ik", F.size("w").alias("n"), F.col("place").alias("ip"), "h")
     texts = docs.select("doc_id", "th", words_of("text").alias("w"))
     shift = F.col("place") - F.col("ip")
     where = ["doc_id", "th", "ik", "shift"]
-    if size.n * len(used) <= max_seeds:
+    if n_words * len(used) <= max_seeds:
         hits = _places(texts, used).join(F.broadcast(seeds), "h")
         # One row for each way that two texts lie; only the words beside the item go on.
         hits = hits.select("doc_id", "th", "ik", shift.alias("shift"), _beside(F.col("w"), shift, F.col("n")).alias("b"))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -198,6 +199,39 @@ def test_leaks(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_every_permitted_change_is_found(spark):
+    def needed(n):
+        return -(-min(n, 20) * 80 // 100)
+
+    for n in range(5, 21):      # some mask is intact wherever the changes lie
+        places = [{p + j for j, bit in enumerate(m) if bit == "1"}
+                  for m in decontaminate.COVER for p in range(n - len(m) + 1)]
+        for changed in itertools.combinations(range(n), n - needed(n)):
+            assert any(s.isdisjoint(changed) for s in places)
+    rnd = random.Random(3)
+    items, docs = {}, {}
+    for n in range(5, 21):
+        items[n] = cases.words(rnd, n, 10**6).split()
+        for k in range(8):
+            copy = list(items[n])
+            for i in rnd.sample(range(n), n - needed(n) + (k == 7)):   # the last has one change too many
+                copy[i] = "zz"
+            docs[100 * n + k] = ["a"] * 3 + copy + ["b"] * 3
+    want = set()
+    for d, w in docs.items():
+        for i, item in items.items():
+            best = max(sum(0 <= j + s < len(w) and w[j + s] == x for j, x in enumerate(item))
+                       for s in range(-len(item), len(w)))
+            if best >= needed(len(item)):
+                want.add((d, i, len(item), best))
+    assert len(want) == 16 * 7
+    frames = [spark.createDataFrame([(i, " ".join(w)) for i, w in x.items()], f"{name} long, text string")
+              for name, x in (("doc_id", docs), ("item_id", items))]
+    for max_seeds in (decontaminate.MAX_SEEDS, 0):
+        got = decontaminate.contaminated(*frames, max_seeds=max_seeds).collect()
+        assert {tuple(r) for r in got} == want
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 def test_toxicity_held_out_and_edges(spark):
