@@ -6,9 +6,11 @@ end, each edge with its share of the node's sum, so a segmentation comes up
 with exactly its probability among all.  Draws are hashes of (seed, row key,
 place), so a row always gets the same segmentation, on any executor.
 
-White space never lies inside a piece, so the lattice falls apart at spaces
-and line ends and each distinct unit's lattice is built once a slice; all
-units of a slice are filtered, and all their occurrences sampled, together.
+A lattice falls apart where no piece can cross: before a line end, and before
+a space unless some piece holds its neighbour and the space, as the pieces of
+several spaces do; a run of spaces stays whole and with the word behind it.
+Each distinct unit's lattice is built once a slice; all units of a slice are
+filtered, and all their occurrences sampled, together.
 Characters without a piece become byte pieces, and so do line ends and the
 mark character itself, hence decoding gives every text back.
 
@@ -23,7 +25,9 @@ equal pieces); ``pieces`` and ``decoded`` are reserved column names.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -71,13 +75,22 @@ class Vocabulary:
                 raw.append(b"")
             else:
                 raw.append(piece.replace(chr(MARK), " ").encode())
-                if piece and chr(MARK) not in piece[1:]:
+                if piece:
                     words.append((piece, i))
         if (self.bytes < 0).any():
             raise ValueError("the model has no byte pieces, so it cannot encode every text")
         self.raw_at = np.concatenate(([0], np.cumsum([len(r) for r in raw])))
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
         self._trie(words)
+        # Characters that some piece holds right before a space or a line end.
+        crossed: dict[str, set[str]] = {" ": set(), "\n": set()}
+        for word, _ in words:
+            for a, b in pairwise(word.replace(chr(MARK), " ")):
+                if b in crossed:
+                    crossed[b].add(a)
+        self.only_runs = crossed[" "] <= {" "} and not crossed["\n"]
+        self.cut = re.compile("|".join(
+            (f"(?<![{re.escape(''.join(sorted(c)))}])" if c else "") + f"(?={b})" for b, c in crossed.items()))
 
     def _trie(self, words: list[tuple[str, int]]) -> None:
         """Edges node * 2**21 + character -> node, sorted; node -> piece or -1."""
@@ -102,6 +115,19 @@ class Vocabulary:
         return np.where(self.edge[at] == key, self.to[at], -1)
 
 
+def units_of(vocabulary: Vocabulary, text: str) -> list[str]:
+    """The text, with the space that leads it, cut where no piece can cross."""
+    if not vocabulary.only_runs or "  " in text or text[:1] == " ":
+        return [u for u in vocabulary.cut.split(" " + text) if u]
+    first, *rest = text.split("\n")
+    units = [" " + w for w in first.split(" ")]
+    for line in rest:
+        head, *words = line.split(" ")
+        units.append("\n" + head)
+        units += [" " + w for w in words]
+    return units
+
+
 class Lattice:
     """Lattices of many units (code points, offsets) and their path sums."""
 
@@ -222,23 +248,14 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray) ->
     per = []
     known = index.setdefault
     for text in texts:
-        if "\n" in text:
-            first, *rest = text.split("\n")
-            words = first.split(" ")
-            for line in rest:
-                words += ("\n" + line).split(" ")
-        else:
-            words = text.split(" ")
-        ids += [known(w, len(index)) for w in words]
-        per.append(len(words))
-    mark = chr(MARK)
-    units = [w if w[:1] == "\n" else mark + w for w in index]
-    size = np.array([len(u) for u in units], np.int64)
+        units = units_of(vocabulary, text)
+        ids += [known(u, len(index)) for u in units]
+        per.append(len(units))
+    size = np.array([len(u) for u in index], np.int64)
     offsets = np.concatenate(([0], np.cumsum(size)))
-    chars = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
-    literal = chars == MARK
-    literal[offsets[:-1]] = False
-    chars[literal] = LITERAL_MARK
+    chars = np.frombuffer("".join(index).encode("utf-32-le"), np.uint32).astype(np.int64)
+    chars[chars == MARK] = LITERAL_MARK
+    chars[chars == ord(" ")] = MARK
     lattice = Lattice(vocabulary, chars, offsets)
     per = np.array(per)
     place = A.concat_ranges(np.zeros(len(per), np.int64), per).astype(_U)

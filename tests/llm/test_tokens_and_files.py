@@ -59,6 +59,42 @@ def test_samples_follow_the_path_weights():
         assert abs(seen[path] / n - share) < 5 * math.sqrt(share / n) + 1e-4
 
 
+@pytest.mark.parametrize("text", ["a    b", "  a", "a   ", "x\n   y"])
+def test_samples_of_runs_of_spaces_follow_the_path_weights(text):
+    v = pieces.Vocabulary.get(MODEL, 1.0)
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    full, paths = "\u2581" + text.replace(" ", "\u2581"), {}
+
+    def walk(i, path, weight):
+        if i == len(full):
+            paths[tuple(path)] = math.exp(weight)
+        elif full[i] == "\n":
+            walk(i + 1, path + [v.bytes[10]], weight + pieces.FALLBACK)
+        for j in range(i + 1, len(full) + 1):
+            p = sp.piece_to_id(full[i:j])
+            if p and not sp.is_byte(p):
+                walk(j, path + [p], weight + v.weight[p])
+
+    walk(0, [], 0.0)
+    assert any(sp.piece_to_id("\u2581\u2581") in path for path in paths)
+    n, total = 40_000, sum(paths.values())
+    tokens, at = pieces.encode_texts(v, [text] * n, arrays.mix(np.arange(n, dtype=np.uint64)))
+    seen = collections.Counter(tuple(tokens[a:b].tolist()) for a, b in zip(at[:-1], at[1:]))
+    assert set(seen) <= set(paths)
+    for path, weight in paths.items():
+        share = weight / total
+        assert abs(seen[path] / n - share) < 5 * math.sqrt(share / n) + 1e-4
+    assert pieces.decode_tokens(v, tokens, at)[0] == text
+
+
+def test_texts_with_runs_of_spaces_come_back():
+    v = pieces.Vocabulary.get(MODEL, 1.0)
+    texts = ["", " ", " " * 40, "\n \n  \n", "  \u2581 \u2581\u2581  x", "a \n  b  ", "def f():\n        return  1\n"]
+    tokens, at = pieces.encode_texts(v, texts, arrays.mix(np.arange(len(texts), dtype=np.uint64)))
+    assert pieces.decode_tokens(v, tokens, at) == texts
+
+
 # --- token shards ------------------------------------------------------------------
 
 def test_shards_match_the_library(spark):
