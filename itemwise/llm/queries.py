@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.llm import (chat, decontaminate, minhash, pieces, quality, recompress, suffix, toxicity, warc,
+from itemwise.llm import (chat, decontaminate, lexical, minhash, pieces, quality, recompress, suffix, toxicity, warc,
                           wavelet)
 from itemwise.session import write_scratch
 
@@ -83,9 +83,11 @@ twice AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY d
 cov AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, p + unnest(range(8)) AS j FROM twice) GROUP BY doc_id),
 ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup
        FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
-       WHERE regexp_matches(line, '[^ 	-]') GROUP BY doc_id),
+       WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY doc_id),
 b AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
-        CAST(length(regexp_replace(t, '[ 	-]', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[ 	-
+]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS caps,
         CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
@@ -238,3 +240,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).where(part != 2)
     model = toxicity.fit(docs, labels)
     return toxicity.score(docs, model).select("doc_id", (part == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op11_stratified_search", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM d),
+tf AS (SELECT r, doc_id, len(ws) AS n, term, count(*) AS tf
+       FROM (SELECT r, doc_id, ws, unnest(ws) AS term FROM w) GROUP BY ALL),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM w WHERE len(ws) > 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, size),
+item AS (SELECT item_id, text, term, count(*) AS times FROM (SELECT item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark))
+    GROUP BY ALL),
+part AS (SELECT item_id, text, r, doc_id, times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))) AS s
+         FROM item JOIN weight USING (term) JOIN tf USING (term), size),
+total AS (SELECT item_id, text, r, doc_id, CAST(sum(s) AS BIGINT) AS score FROM part GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (
+    PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM total WHERE score > 0)
+WHERE rank <= 10""")
+def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
