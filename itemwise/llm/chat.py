@@ -104,7 +104,8 @@ class Conversation:
 
     def add(self, role: str | None, text: str | None, parts: list[dict] | None = None) -> None:
         role = role or ""
-        body = "".join(map(self.visitor.visit, parts)) if parts else escape(text or "")
+        # A plain text is a conversation's commonest part.
+        body = "".join(map(self.visitor.visit, parts or [{"type": "text", "text": text}]))
         if role in FRAMES:
             opening, closing = FRAMES[role]
         else:

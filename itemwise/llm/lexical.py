@@ -41,10 +41,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from itemwise.llm import arrays as A
 from itemwise.session import write_scratch
 
-# Fixed values of the terms and of the score.
-NOT_TERM = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+# A term, in bytes of lower-cased text.
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 SHARD_POSTINGS = 1 << 20     # a shard ends at the document that reaches it
 BLOCK_BYTES = 4 << 20        # bytes of query text that are searched at a time
@@ -67,12 +67,34 @@ def terms_of(text: bytes) -> list[bytes]:
     return _TERM.findall(text.lower())
 
 
+_IN_TERM = np.zeros(256, bool)
+_IN_TERM[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+_IN_TERM[0x80:] = True
+
+
+def _size_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with a term and all their terms, a row for each batch."""
+    for batch in batches:
+        data, at = A.texts_of(batch.column(0))
+        docs = terms = 0
+        for lo, hi in A.slices(at):
+            inside = _IN_TERM[data[at[lo]:at[hi]]]
+            offsets = at[lo:hi] - at[lo]
+            starts = inside.copy()
+            starts[1:] &= ~inside[:-1]
+            full = offsets[at[lo:hi] < at[lo + 1:hi + 1]]
+            starts[full] = inside[full]          # a run never goes on from the text before
+            where = np.flatnonzero(starts)
+            terms += len(where)
+            docs += len(np.unique(np.searchsorted(offsets, where, "right")))
+        yield pa.RecordBatch.from_arrays([pa.array([docs], pa.int64()), pa.array([terms], pa.int64())], ["docs", "terms"])
+
+
 def corpus_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """N and L."""
-    n = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(f"[^{NOT_TERM}]+")).cast("long")
-    row = (docs.select(n.alias("n")).where("n > 0")
-           .agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first())
-    return row.docs, row.terms
+    sizes = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_size_batches, "docs long, terms long")
+    row = sizes.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"), F.coalesce(F.sum("terms"), F.lit(0)).alias("terms")).first()
+    return row["docs"], row["terms"]
 
 
 # --- the index -----------------------------------------------------------------
@@ -191,9 +213,9 @@ class _Strata:
         m, tf = groups.field("m").to_numpy(), groups.field("tf").to_numpy().astype(np.int64)
         places = groups.field("docs")
         self.docs = places.flatten().to_numpy()
-        sizes = places.value_lengths().to_numpy()
-        self.ends = np.cumsum(sizes)
-        self.starts = self.ends - sizes
+        self.sizes = places.value_lengths().to_numpy().astype(np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.starts = self.ends - self.sizes
         self.m, stratum = np.unique(m, return_inverse=True)
         # One impact for each tf of a stratum.
         wide = int(tf.max(initial=0)) + 1
@@ -204,7 +226,7 @@ class _Strata:
         bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
         owner = np.repeat(np.arange(len(keep)), np.diff(bounds))
         run_ends = _last_of_runs(owner, stratum)
-        run_starts = np.concatenate(([0], run_ends[:-1])).astype(np.int64)
+        run_starts = np.concatenate(([0], run_ends)).astype(np.int64)[:-1]
         top = self.impact[run_ends - 1]
         cuts = np.searchsorted(owner[run_starts], np.arange(len(keep) + 1))
         self.runs = {}
@@ -212,39 +234,44 @@ class _Strata:
             s = slice(cuts[k], cuts[k + 1])
             self.runs[number_of[terms[i]]] = (stratum[run_starts[s]], run_starts[s], run_ends[s], top[s])
 
-    def _postings(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and impacts of the groups [start, end) of each run."""
+    def _postings(self, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and weighted impacts of the groups [start, end) of each run."""
         group = _ranges(starts, ends)
-        at = _ranges(self.starts[group], self.ends[group])
-        return self.docs[at], np.repeat(self.impact[group], self.ends[group] - self.starts[group])
+        weighted = self.impact[group] * np.repeat(weights, ends - starts)
+        return self.docs[_ranges(self.starts[group], self.ends[group])], np.repeat(weighted, self.sizes[group])
 
     def best(self, query: _Query, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the k best documents."""
-        mine = [(self.runs[t], w) for t, w in zip(query.terms, query.weights) if t in self.runs]
+        places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        mine = [(*self.runs[t], w) for t, w in zip(query.terms, query.weights) if t in self.runs]
+        if not mine:
+            return places, scores
+        stratum, starts, ends, top = (np.concatenate(x) for x in zip(*(m[:4] for m in mine)))
+        weights = np.repeat([m[4] for m in mine], [len(m[0]) for m in mine])
         bound = np.zeros(len(self.m), np.int64)
-        for (strata, _, _, top), w in mine:
-            bound[strata] += w * top
+        np.add.at(bound, stratum, weights * top)
         order = np.argsort(-bound, kind="stable")
         order = order[:np.count_nonzero(bound)]
+        rank = np.empty(len(bound), np.int64)
+        rank[order] = np.arange(len(order))
+        by_visit = np.argsort(rank[stratum], kind="stable")
+        starts, ends, weights = starts[by_visit], ends[by_visit], weights[by_visit]
+        first = np.searchsorted(rank[stratum][by_visit], np.arange(len(order) + 1))     # runs of a visit
         score = np.zeros(len(self.ids), np.int64)
-        places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         done, step = 0, 4
         while done < len(order):
             if len(scores) == k and bound[order[done]] < scores[-1]:
                 break
-            visit = np.sort(order[done:done + step])
-            done, step = done + step, 2 * step
-            for (strata, starts, ends, _), w in mine:
-                at = np.searchsorted(strata, visit)
-                at[at == len(strata)] = 0
-                at = at[strata[at] == visit]
-                docs, impact = self._postings(starts[at], ends[at])
-                score[docs] += w * impact          # a document has one tf for a term
+            upto = min(done + step, len(order))
+            at = slice(first[done], first[upto])
+            docs, points = self._postings(starts[at], ends[at], weights[at])
+            np.add.at(score, docs, points)
             hit = np.flatnonzero(score)
             places, scores = np.concatenate((places, hit)), np.concatenate((scores, score[hit]))
-            top = np.lexsort((places, -scores))[:k]
-            places, scores = places[top], scores[top]
+            best = np.lexsort((places, -scores))[:k]
+            places, scores = places[best], scores[best]
             score[hit] = 0
+            done, step = upto, 2 * step
         return places, scores
 
 

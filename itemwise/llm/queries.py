@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.llm import (chat, decontaminate, lexical, minhash, pieces, quality, recompress, suffix, toxicity, warc,
+from itemwise.llm import (chat, counts, decontaminate, lexical, merkle, minhash, pieces, quality, recompress, suffix, toxicity, warc,
                           wavelet)
 from itemwise.session import write_scratch
 
@@ -264,3 +264,57 @@ WHERE rank <= 10""")
 def op11_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical.build_index(table(spark, sf_dir, "documents"))
     return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
+# Unsigned CRC-32 of a text of digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: CAST(ascii(c) AS BIGINT))), lambda a, c: list_reduce(list_prepend(xor(a, c), list_transform(range(8), lambda z: CAST(z AS BIGINT))),
+    lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _merkle_sql() -> str:
+    head = " || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars")))
+    level = """SELECT tree, lvl + 1 AS lvl, pos // 3 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h, (n + 2) // 3 AS n
+               FROM {0} WHERE n > 1 GROUP BY tree, lvl, pos // 3, n"""
+    kids = "SELECT tree, lvl, pos // 3 AS parent, list(h ORDER BY pos) AS hs FROM {0} WHERE n > 1 GROUP BY ALL"
+    fold = """SELECT r, f.tree, f.lvl + 1 AS lvl, pos // 3 AS pos,
+                     sha256(array_to_string(hs[:pos % 3] || [h] || hs[pos % 3 + 2:], '')) AS h,
+                     proof || array_to_string(hs[:pos % 3] || hs[pos % 3 + 2:], '') AS proof
+              FROM {0} f JOIN {1} k ON k.tree = f.tree AND k.lvl = f.lvl AND k.parent = pos // 3"""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({head} || {_field_sql("text")}) AS leaf,
+    CASE WHEN {_CRC32} % 2 = 0 THEN sha256({head} || {_field_sql("replace(text, chr(10), '')")}) END AS altered FROM documents),
+l AS (SELECT *, coalesce('=' || source, '') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n FROM d),
+t AS (SELECT tree, 0 AS lvl, pos, leaf AS h, n FROM l UNION ALL {level.format("t")}),
+k AS MATERIALIZED ({kids.format("t")}),
+sub AS (SELECT tree AS name, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT '' AS tree, 0 AS lvl, pos, h, n FROM sub UNION ALL {level.format("u")}),
+ku AS MATERIALIZED ({kids.format("u")}),
+f AS (SELECT r, tree, 0 AS lvl, pos, coalesce(altered, leaf) AS h, '' AS proof FROM l UNION ALL {fold.format("f", "k")}),
+f1 AS (SELECT r, f.h, proof, sub.pos, sub.h AS subroot FROM f JOIN (SELECT tree, max(lvl) AS lvl FROM t GROUP BY tree) m USING (tree, lvl)
+       JOIN sub ON sub.name = f.tree),
+g AS (SELECT r, '' AS tree, 0 AS lvl, pos, h, proof FROM f1 UNION ALL {fold.format("g", "ku")})
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(g.proof) AS proof_sha256, g.h AS folded_root, g.h = root.h AS verified
+FROM l JOIN f1 USING (r) JOIN g USING (r), (SELECT h, lvl FROM u WHERE n = 1) root WHERE g.lvl = root.lvl"""
+
+
+@query("op12_midstate_tree", _merkle_sql())
+def op12_midstate_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), candidate={"text": text})
+    digests = [F.lower(F.hex(c)).alias(n) for c, n in (
+        ("leaf", "leaf"), ("subroot", "subroot"), ("root", "root"), ("proof", "proof_sha256"),
+        ("folded_root", "folded_root"))]
+    return found.select(F.col("key").alias("doc_id"), *digests, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_digest_cache")
+def op13_digest_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counts.token_counts(docs, tokenizer_file("word_bpe_49k.json"), limit=2048)

@@ -100,7 +100,6 @@ def test_texts_with_runs_of_spaces_come_back():
 def test_shards_match_the_library(spark):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     extra = ["two  spaces", " lead", "trail ", "tab\t x", "a \n b", "it's <|endoftext|> ok", "a\u00a0 b"]
     docs = cases.frame(spark, cases.texts() + extra).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     manifest = wavelet.write_tokens(docs.repartition(3), BPE, shard_tokens=1500)
