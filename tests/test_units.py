@@ -219,9 +219,9 @@ def test_scoring_without_a_model_feature_is_an_error(spark):
     from itemwise.operators import model as MD
     rows = [(float(i % 10), float(i % 3), int(i % 10 > 4)) for i in range(400)]
     df = spark.createDataFrame(rows, "a double, b double, lable_x int")
-    model, history = MD.train_best(df, df, ["a", "b"], max_iter=3, patience=1, block=2, min_instances=10)
+    model, history = MD.train_best(df, df, ["a", "b"], max_iter=3, patience=1, block=2, min_rows=10)
     assert history[0] == (1, 1.0) and len(history) == 2
-    assert model.stages[-1].getNumTrees == 1
+    assert len(model.trees) == 1
     imp = {r.feature: r.splits for r in MD.feature_importance(model).collect()}
     assert imp["a"] >= 1 and imp["b"] == 0
     assert MD.score(model, df).count() == 400
@@ -236,7 +236,7 @@ def test_auc_of_every_round_matches_the_scores(spark):
     rows = [(rnd.random(), rnd.random()) for _ in range(300)]
     df = spark.createDataFrame([(a, b, int(a + 0.4 * rnd.random() > 0.7)) for a, b in rows],
                                "a double, b double, lable_x int")
-    model = MD.train_gbt(df, ["a", "b"], max_iter=4, min_instances=20)
+    model = MD.train_gbt(df, ["a", "b"], max_iter=4, min_rows=20)
     last = MD.auc_by_round(model, df).orderBy("round").collect()[-1]
     scored = MD.score(model, df, keep=["lable_x"]).withColumnRenamed("lable_x", "label")
     assert last.round == 4 and abs(last.auc - EV.auc(scored).first().auc) < 1e-12
