@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from itemwise.functions import labels as L
@@ -38,6 +38,15 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str],
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def first_in_file_order(df: DataFrame, keys: Sequence[str], positions: Sequence[str]) -> DataFrame:
+    """One row per key: the first as if the files had been read one after
+    another and joined in memory, where a left join keeps the order of its
+    left rows and, for each, that of its matches.  ``positions`` are the place
+    columns of the joined sources (``sources.dated``), left to right; they are
+    narrow, and dropped from the result."""
+    return dedup_keep_first(df, keys, [(p, True) for p in positions]).drop(*positions)
+
+
 def clean_items(df: DataFrame, title: str = "title_x", category: str = "category_name",
                 ds: str | None = "ds", order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
     """distinct -> non-null category -> one row per title (per day).
@@ -97,3 +106,48 @@ def step_counts(df: DataFrame, title: str = "title_x", category: str = "category
     lines = [F.struct(F.lit(i).alias("step_no"), F.lit(n).alias("step"), F.col(n).alias("rows"))
              for i, n in enumerate(steps)]
     return one.select(F.inline(F.array(*lines)))
+
+
+class CleaningCounts:
+    """Row counts of the cleaning steps, observed while the cleaned table is
+    written: no step is computed a second time to be counted.
+
+    ``cleaned`` gives the table; after one action on it ``rows`` holds the
+    counts under the names of ``step_counts``.  Without ``distinct`` the copies
+    are not removed by a step of their own (the first row of a title is the
+    same): that count is missing, and ``non_null_category`` counts copies.  Values that are no JSON objects are
+    counted at the input, a column each, under ``corrupt:<column>``."""
+
+    STEPS = ("input", "distinct", "non_null_category", "one_per_title", "not_single_buy", "labelled")
+
+    def __init__(self, distinct: bool = False, json: Sequence[str] = ()):
+        self.json = list(json)
+        self.steps = {s: Observation() for s in self.STEPS if distinct or s != "distinct"}
+
+    def _seen(self, df: DataFrame, step: str) -> DataFrame:
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if step == "input":
+            counts += [F.count_if(col(c).isNotNull() & F.from_json(col(c), "map<string,string>").isNull())
+                       .alias(f"corrupt:{c}") for c in self.json]
+        return df.observe(self.steps[step], *counts)
+
+    def cleaned(self, df: DataFrame, title: str = "title_x", category: str = "category_name", ds: str | None = "ds",
+                rule: str = "a", order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
+        keys = ([ds] if ds and ds in df.columns else []) + [title]
+        df = self._seen(df, "input").drop(*self.json)
+        if "distinct" in self.steps:
+            df = self._seen(distinct_rows(df), "distinct")
+        df = self._seen(drop_null_key(df, [category]), "non_null_category")
+        df = self._seen(dedup_keep_first(df, keys, order), "one_per_title")
+        df = self._seen(df.where(L.not_single_buy()), "not_single_buy")
+        return self._seen(label_items(df, rule), "labelled")
+
+    @property
+    def rows(self) -> dict[str, int]:
+        """Waits for the action on the table that was asked for."""
+        out = {}
+        for step, seen in self.steps.items():
+            got = dict(seen.get)
+            out[step] = got.pop("rows")
+            out |= got
+        return out

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itemwise.functions.prefix import dense_positions
 from itemwise.operators.columns import col
 
 # Fixed values of the balanced sample sheet.
@@ -42,13 +43,42 @@ def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:
     return df.orderBy(F.rand(seed))
 
 
+def _keyed(seed: int | str, key: Sequence[str]) -> Column:
+    """MD5 of the seed and the key's values, each told from null and from its neighbours."""
+    parts = [F.coalesce(F.concat(F.length(col(k).cast("string")).cast("string"), F.lit(":"), col(k).cast("string")),
+                        F.lit("-")) for k in key]
+    return F.md5(F.concat(F.lit(f"{seed}|"), *parts))
+
+
+def shuffled(df: DataFrame, key: Sequence[str], seed: int = 42, index: str = "index") -> DataFrame:
+    """All rows in a random order, with their new places 0..n-1 in ``index``.
+
+    The order is that of a hash of the seed and the ``key`` columns, so it is
+    the same for any partitioning and after a lost task; rows with equal keys
+    (also hot ones) follow each other in any order.  Rows are dealt to ranges
+    of the hash and numbered there, so no task sees all of them."""
+    rows = df.withColumns({"__h": _keyed(seed, key), "__r": F.monotonically_increasing_id()})
+    return dense_positions(rows, [F.asc("__h"), F.asc("__r")], name=index).drop("__h", "__r")
+
+
+def keyed_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2), names: Sequence[str] = ("train", "test"),
+                seed: int = 42, buckets: int = 10_000) -> DataFrame:
+    """``hash_split`` by MD5 of a seed and the key, which any engine can state:
+    the first eight hexadecimal digits, modulo ``buckets``."""
+    bucket = F.pmod(F.conv(F.substring(_keyed(seed, [key]), 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    return _split_by(df, bucket, weights, names, buckets)
+
+
 def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
                names: Sequence[str] = ("train", "test"), buckets: int = 10_000) -> DataFrame:
     """Label every row with a split chosen from a hash of ``key``: the same
     key always lands in the same split, also when a lost task is recomputed
     (``randomSplit`` depends on the partition layout instead)."""
+    return _split_by(df, F.pmod(F.xxhash64(col(key)), F.lit(buckets)), weights, names, buckets)
+
+
+def _split_by(df: DataFrame, b: Column, weights: Sequence[float], names: Sequence[str], buckets: int) -> DataFrame:
     total = float(sum(weights))
-    b = F.pmod(F.xxhash64(col(key)), F.lit(buckets))
     expr, acc = None, 0.0
     for w, n in zip(weights, names):
         acc += w / total

@@ -6,20 +6,26 @@ in its day (descending; ties keep list order) and cut to ``k``; a list of
 
 Plan: a list's result depends on its day and its text alone, so equal lists
 of a day are first counted as one (rows may repeat, no row key is needed).
-Token frequencies are sums over these distinct lists; only lists longer than
-``k`` are joined to them, ranked with a literal group limit, and brought back
-by (day, digest of the list).  Lists of at most ``k`` tokens never leave their
-row.  Groups match null to null.
+Token frequencies are sums over these distinct lists, written once, and
+measured.  While they are few (``MAP_TOKENS`` a day and list, ``MAP_BYTES`` in
+all) they come back as one map for each day, which is broadcast: each row
+orders its own tokens by it, and no row is shuffled.  Beyond that, the lists
+longer than ``k`` are joined to the frequencies, ranked with a literal group
+limit, written once, and brought back by (day, digest of the list).  Lists of
+at most ``k`` tokens never leave their row.  Groups match null to null.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemwise.operators.columns import col, drop_strict
+from itemwise.session import write_scratch
 
 # Fixed values of the expansion step.
 FEATURE_K = 6
@@ -27,6 +33,9 @@ FEATURE_NAMES = ["feature1", "feature2", "feature3", "feature4", "feature5", "fe
 PAIR_K = 2
 PAIR_COLUMNS = ["scenario", "brand_real", "audience"]
 DELIMITER = ";"
+# A map is searched from its start for each token, so it pays while it is short.
+MAP_TOKENS = 2_000
+MAP_BYTES = 32 << 20
 # Pads are null inside the pipeline: a real token may be the text "-1".
 PAD = None
 
@@ -70,50 +79,89 @@ def _pad(arr: Column, k: int, pad) -> Column:
     return F.concat(arr, F.array_repeat(filler, F.greatest(F.lit(0), F.lit(k) - F.size(arr))))
 
 
-def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[str] = ("ds",),
-               delim: str = DELIMITER, pad=PAD, out_fmt: str = "{}_topk") -> DataFrame:
-    """Append one array of exactly ``k`` tokens per (column, k) in ``specs``;
-    all list columns go through one frequency aggregate, one join and one
-    ranking."""
-    group = list(group)
-    specs = [(c, k) for c, k in specs if c in df.columns]
-    if not specs:
-        return df
-    by = [col(g) for g in group]
-    texts = F.array(*[F.struct(F.lit(i).alias("__list"), F.lit(k).alias("__k"), col(c).alias("__text"))
-                      for i, (c, k) in enumerate(specs)])
-    lists = (df.select(*by, F.inline(texts)).where("__text IS NOT NULL")
-             .groupBy(*by, "__list", "__k", "__text").agg(F.count(F.lit(1)).alias("__c"))
-             .select(*by, "__list", "__k", "__c", F.md5("__text").alias("__md5"),
-                     split_tokens("__text", delim).alias("__a")))
+def _same_group(group: Sequence[str]) -> list[Column]:
+    return [col(g).eqNullSafe(col(f"__g_{g}")) for g in group]
+
+
+def _ordered_by(counts: Column):
+    """A list's element as (fewest last, first place first, token)."""
+    return lambda t, at: F.struct((-F.element_at(counts, t)).alias("n"), at.alias("at"), t.alias("token"))
 
-    def tokens(part: DataFrame) -> DataFrame:
-        return part.select(*by, "__list", "__k", "__c", "__md5",
-                           F.posexplode("__a").alias("__pos", "__token"))
 
-    freq = (tokens(lists).groupBy(*by, "__list", "__token").agg(F.sum("__c").alias("__n"))
-            .withColumnsRenamed({g: f"__g_{g}" for g in group} | {"__list": "__fl", "__token": "__ft"}))
-    long = tokens(lists.where(F.size("__a") > F.col("__k")))
+def _by_map(df: DataFrame, freq: DataFrame, specs: Sequence[tuple[str, int]], group: list[str], delim: str) -> DataFrame:
+    """Appends ``__top_i``: the k most frequent tokens of a longer list, by
+    the maps of its group."""
+    pair = F.struct(F.col("__token"), F.col("__n"))
+    maps = freq.groupBy(*[col(g).alias(f"__g_{g}") for g in group]).agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("__list") == i, pair))).alias(f"__map_{i}")
+        for i in range(len(specs))])
+    # As many rows as groups, within MAP_BYTES.
+    out = df.join(F.broadcast(maps), reduce(lambda a, b: a & b, _same_group(group)), "left")
+    for i, (c, k) in enumerate(specs):
+        arr = split_tokens(c, delim)
+        place = F.transform(arr, _ordered_by(F.col(f"__map_{i}")))
+        best = F.transform(F.slice(F.array_sort(place), 1, k), lambda e: e["token"])
+        out = out.withColumn(f"__top_{i}", F.when(F.size(arr) > k, best))
+    return out.drop(*[f"__g_{g}" for g in group], *[f"__map_{i}" for i in range(len(specs))])
+
+
+def _by_join(df: DataFrame, lists: DataFrame, freq: DataFrame, specs: Sequence[tuple[str, int]], group: list[str]
+             ) -> DataFrame:
+    """As ``_by_map``, by a join of the longer lists' tokens to the frequencies
+    and one ranking."""
+    by = [col(g) for g in group]
+    freq = freq.withColumnsRenamed({g: f"__g_{g}" for g in group} | {"__list": "__fl", "__token": "__ft"})
+    long = lists.where(F.size("__a") > F.col("__k")).select(*by, "__list", "__k", "__md5",
+                                                            F.posexplode("__a").alias("__pos", "__token"))
     match = (F.col("__list") == F.col("__fl")) & (F.col("__token") == F.col("__ft"))
-    for g in group:
-        match = match & col(g).eqNullSafe(col(f"__g_{g}"))
+    for same in _same_group(group):
+        match = match & same
     key = [*by, F.col("__list"), F.col("__md5")]
     w = Window.partitionBy(*key).orderBy(F.desc("__n"), F.asc("__pos"))
     ranked = (long.join(freq, match).withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") <= max(k for _, k in specs)).where(F.col("__rn") <= F.col("__k"))
               .groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__rn", "__token"))).alias("__top")))
+    ranked = write_scratch(ranked, "token-ranks")      # read once for each list column
     out = df
-    for i, (c, k) in enumerate(specs):
+    for i, (c, _) in enumerate(specs):
         best = ranked.where(F.col("__list") == i).select(
             *[col(g).alias(f"__g_{g}") for g in group], F.col("__md5").alias("__m"),
             F.transform("__top", lambda e: e["__token"]).alias(f"__top_{i}"))
         cond = F.md5(col(c)) == F.col("__m")
-        for g in group:
-            cond = cond & col(g).eqNullSafe(col(f"__g_{g}"))
+        for same in _same_group(group):
+            cond = cond & same
         out = out.join(best, cond, "left").drop("__m", *[f"__g_{g}" for g in group])
-        arr = split_tokens(c, delim)
+    return out
+
+
+def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[str] = ("ds",),
+               delim: str = DELIMITER, pad=PAD, out_fmt: str = "{}_topk", map_tokens: int = MAP_TOKENS) -> DataFrame:
+    """Append one array of exactly ``k`` tokens per (column, k) in ``specs``;
+    one frequency aggregate serves all list columns.  ``map_tokens`` = 0 always
+    takes the join."""
+    group = list(group)
+    specs = [(c, k) for c, k in specs if c in df.columns]
+    if not specs:
+        return df
+    by = [col(g) for g in group]
+    texts = F.array(*[F.struct(F.lit(i).alias("__list"), F.lit(k).alias("__k"), col(c).alias("__text"))
+                      for i, (c, k) in enumerate(specs)])
+    lists = (df.select(*by, F.inline(texts)).where("__text IS NOT NULL")
+             .groupBy(*by, "__list", "__k", "__text").agg(F.count(F.lit(1)).alias("__c"))
+             .select(*by, "__list", "__k", "__c", F.md5("__text").alias("__md5"),
+                     split_tokens("__text", delim).alias("__a")))
+    freq = write_scratch(lists.select(*by, "__list", "__c", F.explode("__a").alias("__token"))
+                         .groupBy(*by, "__list", "__token").agg(F.sum("__c").alias("__n")), "token-counts")
+    size = (freq.groupBy(*by, "__list").agg(F.count(F.lit(1)).alias("tokens"), F.sum(F.octet_length("__token") + 24).alias("bytes"))
+            .agg(F.max("tokens").alias("tokens"), F.sum("bytes").alias("bytes")).first())
+    # Without groups there is no key to bring a map back by.
+    if group and (size["tokens"] or 0) <= map_tokens and (size["bytes"] or 0) <= MAP_BYTES:
+        out = _by_map(df, freq, specs, group, delim)
+    else:
+        out = _by_join(df, lists, freq, specs, group)
+    for i, (c, k) in enumerate(specs):
         # __top_i is set exactly for the lists longer than k.
-        chosen = F.coalesce(F.col(f"__top_{i}"), arr)
+        chosen = F.coalesce(F.col(f"__top_{i}"), split_tokens(c, delim))
         out = out.withColumn(out_fmt.format(c), F.when(col(c).isNull(), F.array_repeat(F.lit(pad).cast("string"), k))
                              .otherwise(_pad(chosen, k, pad))).drop(f"__top_{i}")
     return out
@@ -128,11 +176,11 @@ def topk_tokens(df: DataFrame, column: str, k: int, group: Sequence[str] = ("ds"
 def expand_lists(df: DataFrame, specs: Sequence[tuple[str, int, Sequence[str]]],
                  group: Sequence[str] = ("ds",), delim: str = DELIMITER, pad=PAD) -> DataFrame:
     """Replace each list column by ``k`` named columns of its top-k tokens;
-    a column that is absent is reported and skipped."""
+    a column that is absent is skipped with a warning."""
     present = []
     for c, k, names in specs:
         if c not in df.columns:
-            print(f"Error: Column '{c}' does not exist in the DataFrame")
+            warnings.warn(f"no list column {c!r} to expand", stacklevel=2)
             continue
         present.append((c, k, list(names)))
     if not present:

@@ -863,3 +863,6 @@ def _score_later_days(spark, d):
 
 
 query("score_later_days")(_score_later_days)
+
+
+from itemwise.plans import catalog_stages  # noqa: E402, F401  (registers its queries)

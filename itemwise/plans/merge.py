@@ -7,6 +7,8 @@ All days run in one job; ``ds`` is a join key wherever both sides carry it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from itemwise.functions.jsoncols import LLM_KEYS, extract_flat, extract_nested
@@ -59,8 +61,9 @@ def extract_stats(df: DataFrame) -> DataFrame:
 
 
 def merge_sources(label: DataFrame, dua: DataFrame, llm: DataFrame, ssr: DataFrame,
-                  ici: DataFrame, day: str = "ds") -> DataFrame:
-    """The raw table of all days (one row per label row and match)."""
+                  ici: DataFrame, day: str = "ds", carry: Sequence[str] = ()) -> DataFrame:
+    """The raw table of all days (one row per label row and match); ``carry``
+    names further columns of the descriptions to keep, such as their places."""
     ld = label_with_items(label, dua, day)
     parsed = extract_flat(llm, "llm_nor", LLM_KEYS)
     stats = extract_stats(ssr)
@@ -70,7 +73,7 @@ def merge_sources(label: DataFrame, dua: DataFrame, llm: DataFrame, ssr: DataFra
     ls = left_join_dimension(parsed, stats, on=days, left_on=["category_second"],
                              right_on=["ranked_categories.category_name"])
     kept = [c for c in LLM_SSR_KEEP if not c.startswith("ranked_categories.")]
-    ls = select_ordered(ls, days + kept + stat_names)
+    ls = select_ordered(ls, days + kept + stat_names + list(carry))
     dx = merge(ld, ls, on=_days(ld, ls, day), left_on=["title_x"], right_on=["item_title"],
                how="left")
     final = merge(dx, ici, on=_days(dx, ici, day), left_on=["title_x"], right_on=["title"],

@@ -7,6 +7,8 @@ import os
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,8 +78,38 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder (its scheme,
-    such as ``hdfs://`` or ``file://``, is kept)."""
-    return f"{checkpoint_root(spark)}/itemwise/{name}-{uuid.uuid4().hex[:12]}"
+    such as ``hdfs://`` or ``file://``, is kept).  It belongs to the innermost
+    open ``scratch_scope``."""
+    path = f"{checkpoint_root(spark)}/itemwise/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, every scratch folder made inside: write the result
+    to its place before the scope ends.
+
+        with scratch_scope(spark):
+            near_duplicates(docs).write.parquet(target)
+
+    Tables that are still to be read must not be left inside a closed scope;
+    without a scope, scratch folders stay until the folder's owner clears it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        remove_folders(spark, _SCOPES.pop())
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_scratch(df: DataFrame, name: str) -> DataFrame:
@@ -90,6 +122,16 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+    """Bound the bytes of a batch that Spark hands to Python, which otherwise
+    counts rows only and may hold thousands of long texts.  A smaller limit of
+    the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = spark.conf.get(name, None)
+    if have is None or spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(have) > limit:
+        spark.conf.set(name, str(limit))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished phases now instead
     of at the driver's next full collection; nothing else depends on it."""
