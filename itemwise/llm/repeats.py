@@ -7,8 +7,8 @@ yields one small row (key, fingerprint, place) for each chunk instead of one
 for each window.  Then
 
 1. ``candidates`` keeps the chunks whose key occurs twice or more: counts are
-   combined map-side and the join is a plain shuffle join, whose hot keys
-   adaptive execution splits;
+   combined map-side and written, so that both sides of the join are plain
+   exchanges, of which adaptive execution splits the hot keys;
 2. ``classes`` groups equal chunks (key, fingerprint), so copies cost one row;
 3. only keys with several classes need a closer look, at one representative
    of each class, by the method of the operator;
@@ -43,8 +43,8 @@ def same(left: DataFrame, right: DataFrame, keys: list[str]):
 
 def candidates(anchors: DataFrame, name: str) -> DataFrame:
     """Chunks (key, fp, doc_id, th, at, n) whose key occurs more than once."""
-    keys = (anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-            .where("c > 1").select("key"))
+    keys = write_scratch(anchors.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+                         .where("c > 1").select("key"), f"{name}-keys")
     found = write_scratch(anchors.join(keys, "key"), name)
     release_shuffles(anchors.sparkSession)
     return found
@@ -57,7 +57,7 @@ def classes(found: DataFrame, name: str) -> DataFrame:
         F.count(F.lit(1)).alias("c"),
         F.min(F.struct("doc_id", "at", "th", "n")).alias("first"))
     each = write_scratch(each, name)
-    several = each.groupBy("key").agg(F.count(F.lit(1)).alias("k"))
+    several = write_scratch(each.groupBy("key").agg(F.count(F.lit(1)).alias("k")), f"{name}-keys")
     return each.join(several, "key")
 
 

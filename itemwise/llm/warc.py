@@ -35,12 +35,13 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 from pyspark.sql.types import StructType
 
 from itemwise.llm import files
-from itemwise.session import scratch_path
+from itemwise.session import scratch_path, write_scratch
 
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, refers_to string, "
           "payload_digest string, payload_bytes long, payload string")
 FILE_BYTES = 256 << 20
 LEAST_BYTES = 1000
+FEW_LEADS = 500_000          # repeated digests (some 100 bytes each) that may be broadcast
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ_BYTES = 1 << 22
@@ -307,16 +308,18 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
-def records_of(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+def records_of(pages: DataFrame, least_bytes: int = LEAST_BYTES, few_leads: int = FEW_LEADS) -> DataFrame:
     """WARC records of ``pages`` (page_id, url, html), repeats as revisits."""
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").alias("target_uri"),
                         F.coalesce("html", F.lit("")).alias("payload"))
     base = base.withColumns({"payload_digest": F.sha1(F.encode("payload", "UTF-8")),
                              "payload_bytes": F.octet_length("payload").cast("long")})
-    # Only digests that occur twice matter; counts are combined map-side.
+    # Only digests that occur twice matter; counts are combined map-side.  Few
+    # of them are broadcast, so that no payload is shuffled; many are not.
     leads = (base.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest")
              .agg(F.max("page_id").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
-    joined = base.join(leads, "payload_digest", "left")
+    leads = write_scratch(leads, "warc-leads")
+    joined = base.join(F.broadcast(leads) if leads.count() <= few_leads else leads, "payload_digest", "left")
     again = F.col("lead").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("lead"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
     return joined.select(

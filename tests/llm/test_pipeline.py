@@ -41,7 +41,7 @@ def test_each_stage_does_what_its_brute_force_does(spark, stages):
     assert first == {r.doc_id for r in single.collect()} and single.count() == len(first)
     rows = [(r.doc_id, r.text) for r in single.collect()]
     left = {r.doc_id: r for r in cut.collect()}
-    for i, n, removed, *_ in brute_bytes(rows, 400):
+    for i, n, removed, *_ in brute_bytes(rows, P.PASSAGE_BYTES):
         assert abs(len(left[i].text.encode()) - (n - removed)) <= 4 * removed
         assert removed or left[i].text == dict(rows)[i]
         assert left[i].n_chars == len(left[i].text)
@@ -67,9 +67,23 @@ def test_awkward_rows_pass_every_stage(spark):
     assert nothing.count() == 0
 
 
+def test_extra_columns_of_any_name_pass_every_stage(spark):
+    from itemwise.session import write_scratch
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 4 = 0")
+    names = ["pieces", "Lossless", "kept", "class_id", "n_words", "__spans", "th", "dotted.name", "members"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in P.STAGES:
+        docs = write_scratch(stage(spark, docs, SF), f"extra-{name}")
+        assert docs.columns[:5 + len(names)] == [*P.DOCUMENT, *names] or set(names) <= set(docs.columns)
+        assert docs.count() > 0
+        same = [F.col(f"`{n}`") == F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names]
+        assert docs.where(~same[0] | ~F.array_contains(F.array(*same), False).eqNullSafe(False)).count() == 0
+    assert {"pieces_2", "n_pieces", "lossless_2"} <= set(docs.columns)
+
+
 def test_entry_registers_everything():
     import __spark_entry__ as E
     names = list(E.queries())
     assert "pipeline" in names and collections.Counter(n.split("_")[0] for n in names if n.startswith("op")) == {
-        f"op{i}": 1 for i in range(1, 11)}
+        f"op{i}": 1 for i in range(1, 14)}
     assert set(E.oracle_sql()) <= set(names)
