@@ -14,6 +14,10 @@ unless the lower-cased text spells an added token, which is found before any
 normalising, or a mark follows a capital, with which only one of the two cases
 may compose.  For any other tokenizer the text is taken as it is.
 
+A text is split at ASCII white space where the tokenizer drops it anyway, and
+the library is asked once for each distinct word of a task's memory: a text's
+count is the sum of its words'.  Other tokenizers get whole texts.
+
 Texts move at most once, by digest, after each task has combined its own
 copies; the rows themselves only as (key, bytes, digest).  Digests of many
 copies (a thousandth of the rows or more, so at most a thousand digests) are
@@ -36,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemwise.session import scratch_path, write_scratch
+from itemwise.session import scratch_path, small_batches, write_scratch
 
 LIMIT = 2048
 SLICE_BYTES = 1 << 20        # bytes of text given to the library at a time
+CACHE_WORDS = 500_000        # distinct words whose counts a worker keeps (some 120 bytes each)
 FEW_DIGESTS = 200_000        # missing digests (32 bytes each) that may be broadcast
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STORED = "version string, digest binary, n_tokens long"
@@ -58,13 +63,19 @@ def version_of(path: str) -> str:
     return found.hexdigest()
 
 
+def _described(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 def _folds_case_and_space(made: dict) -> bool:
     steps = (made.get("normalizer") or {}).get("normalizers", [])
     kinds = [s["type"] for s in steps]
     space = [s for s in steps if s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " "]
     splits = [s for s in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if s["type"] == "Split"]
     drops = any(s["behavior"] == "Removed" and s["invert"] and r"[^\s" in s["pattern"].get("Regex", "") for s in splits)
-    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"])
+    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1
+                    for t in made["added_tokens"])
     return kinds == ["NFC", "Replace", "Lowercase"] and bool(space) and drops and plain
 
 
@@ -72,8 +83,7 @@ def normal_form(text: Column, path: str) -> Column:
     """Content whose equality implies equal counts."""
     if library_of(path) != "tokenizers":
         return text
-    with open(path, encoding="utf-8") as f:
-        made = json.load(f)
+    made = _described(path)
     if not _folds_case_and_space(made):
         return text
     even = F.btrim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
@@ -90,6 +100,7 @@ class _Counter:
     _made: dict[str, _Counter] = {}
 
     def __init__(self, path: str):
+        self.words: dict[bytes, int] | None = None
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # a task has one core
         if library_of(path) == "tokenizers":
             from tokenizers import Tokenizer
@@ -97,12 +108,24 @@ class _Counter:
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
             tokenizer.no_padding()
-            self.count = lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self.whole = lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            if _folds_case_and_space(_described(path)):
+                self.words = {}
         else:
             from sentencepiece import SentencePieceProcessor
 
             model = SentencePieceProcessor(model_file=path)
-            self.count = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+            self.whole = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+
+    def count(self, texts: list[bytes]) -> list[int]:
+        if self.words is None:
+            return self.whole([t.decode() for t in texts])
+        split = [t.split() for t in texts]        # at ASCII white space
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        new = list(set().union(*split) - self.words.keys())
+        self.words.update(zip(new, self.whole([w.decode() for w in new]) if new else []))
+        return [sum(map(self.words.__getitem__, words)) for words in split]
 
     @classmethod
     def get(cls, path: str) -> _Counter:
@@ -111,7 +134,7 @@ class _Counter:
         return cls._made[path]
 
 
-def _slices(texts: Iterator[str]) -> Iterator[list[str]]:
+def _slices(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
@@ -128,7 +151,7 @@ def _encode(path: str):
         counter = _Counter.get(path)
         for batch in batches:
             counts: list[int] = []
-            for texts in _slices(t.as_py() for t in batch["text"]):
+            for texts in _slices(t.as_py() for t in batch["text"].cast(pa.binary())):
                 counts += counter.count(texts)
             yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(counts, pa.int64())], ["digest", "n_tokens"])
     return run
@@ -177,6 +200,7 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, key: str
     ``path``, a file that every machine has there.  ``cache`` is the folder of
     the stored counts; without one the run starts its own."""
     spark = docs.sparkSession
+    small_batches(spark)
     cache = cache or scratch_path(spark, "token-cache")
     version = version_of(path)
     whole = F.coalesce(F.col(text), F.lit(""))

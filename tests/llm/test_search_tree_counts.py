@@ -182,7 +182,7 @@ def test_manifest_of_an_empty_table(spark):
 
 WORD = "word_bpe_49k.json"
 ODD = ["A  b\n\tC", "a b c", " a B c ", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|> Y", "H̱ ẖ ẖ",
-       "don't DON'T", "ΣΣ AΣ", "İ K ﬁ", "a ́b", "  a b", "q" * 5000, "a\x1cb", "😀 İ"]
+       "don't DON'T", "ΣΣ AΣ", "İ K ﬁ", "a ́b", "  a b", "q" * 5000, "a\x1cb", "😀 İ", "a\x0bb\x0cc\x85d\u2028e\u00a0f", "x <|endoftext|>\ty", "́ ̱H Σ ΣΣ"]
 
 
 def plain_count(name, text):
