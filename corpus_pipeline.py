@@ -29,7 +29,10 @@ from itemwise.llm.queries import table, tokenizer_file
 from itemwise.session import remove_folders, scratch_path, scratch_scope
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
-PASSAGE_BYTES = 400
+# Passages of over 50 words are to be cut, whose bytes vary: of the runs of 51
+# words and more that documents share, 97 % have 250 bytes (66 % have 400), and
+# 97 % of the documents without such a run share no string of 250 bytes.
+PASSAGE_BYTES = 250
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 

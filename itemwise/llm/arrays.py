@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are processed at a time (a longer single text is its own slice).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _U = np.uint64
 # Multipliers of the finalizer and bases of the polynomial hashes: fixed odd values.
@@ -21,6 +21,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+KEPT_POWERS = SLICE_BYTES + 2
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,18 +36,23 @@ _BYTE_VALUES = [mix(np.arange(256, dtype=_U) + _U(1 + 1000 * k)) for k in range(
 
 
 def powers(n: int, kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of a base, and of its inverse, modulo 2**64."""
-    have = _powers.get(kind)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        base = _BASES[kind]
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, _U)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        have = _powers[kind] = (both[0], both[1])
-    return have[0][:n], have[1][:n]
+    """The first n powers of a base, and of its inverse, modulo 2**64.  Those
+    of a slice are kept; longer texts get their own, for as long as they last."""
+    if n > KEPT_POWERS:
+        return _made_powers(n, kind)
+    if kind not in _powers:
+        _powers[kind] = _made_powers(KEPT_POWERS, kind)
+    both, inverse = _powers[kind]
+    return both[:n], inverse[:n]
+
+
+def _made_powers(n: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASES[kind], pow(_BASES[kind], -1, 1 << 64)):
+        p = np.full(n, base, _U)
+        p[:1] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
 
 
 def prefix_sums(values: np.ndarray, kind: int = 0) -> np.ndarray:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemwise.llm import arrays as A
-from itemwise.session import write_scratch
+from itemwise.session import small_batches, write_scratch
 
 # A term, in bytes of lower-cased text.
 _TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -181,6 +181,7 @@ def _pack(n_docs: int, n_terms: int, shard_postings: int):
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 shard_postings: int = SHARD_POSTINGS) -> Index:
     """Index of every row of ``docs``, written below the shared folder."""
+    small_batches(docs.sparkSession)
     n_docs, n_terms = corpus_size(docs, text)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     table = rows.mapInArrow(_pack(n_docs, n_terms, shard_postings), INDEX)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from itemwise.llm import arrays as A
 from itemwise.llm.graph import components
-from itemwise.session import release_shuffles, write_scratch
+from itemwise.session import release_shuffles, small_batches, write_scratch
 
 _U = np.uint64
 SHINGLE = 5
@@ -374,6 +374,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """All columns of ``docs`` and class_id, members (documents of the class)
     and kept: exactly one document of each class, the first by doc_id."""
+    small_batches(docs.sparkSession)
     named = docs.withColumn("__node", F.xxhash64("text"))
     found = classes(named.select(F.col("__node").alias("node"), F.col("doc_id").cast("long").alias("doc_id"), "text"),
                     similarity)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemwise.llm import arrays as A
+from itemwise.session import small_batches
 
 _U = np.uint64
 MARK = 0x2581                # stands for a space in pieces
@@ -311,6 +312,7 @@ def sample_encode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
     """``docs`` with ``pieces``, a sampled segmentation of the text as piece
     ids; the row key seeds the draws.  ``model``: a SentencePiece file that
     every executor has."""
+    small_batches(docs.sparkSession)
     keyed = docs.drop("pieces").withColumn("__key", F.xxhash64(F.col(key).cast("string")))
     schema = T.StructType([f for f in keyed.schema.fields if f.name != "__key"]
                           + [T.StructField("pieces", T.ArrayType(T.IntegerType()))])

@@ -23,13 +23,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itemwise.session import release_shuffles, write_scratch
+from itemwise.session import release_shuffles, small_batches, write_scratch
 
 ROW = ["doc_id", "th"]
 
 
 def identified(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, th, text) of every row."""
+    small_batches(docs.sparkSession)
     return docs.select("doc_id", F.hash(text).alias("th"), F.col(text).alias("text"))
 
 

@@ -2,11 +2,12 @@
 
 import collections
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from itemwise.llm import quality
+from itemwise.llm.queries import ORACLE
 
 from . import cases
 from .test_near_and_quality import brute_classes
@@ -34,8 +35,11 @@ def test_stage_columns_and_order(stages):
 
 def test_each_stage_does_what_its_brute_force_does(spark, stages):
     start, good, single, cut, clean, last = stages
-    kept = quality.quality_rules(start).where("kept")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in good.collect())
+    # The rules stated a second time, in SQL.
+    documents = duckdb.connect()
+    documents.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    kept = documents.execute(f"SELECT doc_id FROM ({ORACLE['op2_quality']}) WHERE kept").fetchall()
+    assert sorted(i for i, in kept) == sorted(r.doc_id for r in good.collect())
     rows = sorted((r.doc_id, r.text) for r in good.collect())
     first = {min(rows[i][0] for i in g) for g in brute_classes(rows)}
     assert first == {r.doc_id for r in single.collect()} and single.count() == len(first)
