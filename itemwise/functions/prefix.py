@@ -5,9 +5,11 @@ A window ``ORDER BY x`` with no ``PARTITION BY`` moves every row into one
 task.  Here the rows are range-partitioned on the order key instead (and
 written once, so the partition of a row is fixed); each
 partition's totals (one row per partition and group) are summed into
-offsets, which are broadcast back (their size is bounded by the partition
-count times the number of groups), and the local running total inside each
-range partition is added to its offset.
+offsets, which are broadcast back, and the local running total inside each
+range partition is added to its offset.  Ranges follow the groups, so a
+partition goes on with at most one group of the partition before; only such
+groups have an offset, which bounds the broadcast by the partition count
+however many groups there are.  Null is a group like any other.
 """
 
 from __future__ import annotations
@@ -49,16 +51,20 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: dict[str, Colum
                          .withColumn("__pid", F.spark_partition_id()), "ranges")
     totals = part.groupBy(*group, "__pid").agg(*[F.sum(f"__v_{k}").alias(f"__t_{k}") for k in sums])
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, "__pid",
-                            *[F.coalesce(F.sum(f"__t_{k}").over(before), F.lit(0)).alias(f"__o_{k}")
-                              for k in sums])
+    placed = Window.partitionBy(*group).orderBy("__pid")
+    offsets = (totals.select(*[F.col(g).alias(f"__g_{g}") for g in group], F.col("__pid").alias("__range"),
+                             *[F.sum(f"__t_{k}").over(before).alias(f"__o_{k}") for k in sums],
+                             F.row_number().over(placed).alias("__nth"))
+               .where("__nth > 1").drop("__nth"))
     local_end = Window.unboundedPreceding, (Window.currentRow if inclusive else -1)
     w = Window.partitionBy(*group, "__pid").orderBy(*order).rowsBetween(*local_end)
-    # offsets has one row per (group, range): bounded by the range count
-    # times the number of groups, never by the data size.
-    out = part.join(F.broadcast(offsets), group + ["__pid"], "left")
+    # At most one row for each range.
+    same = F.col("__pid") == F.col("__range")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    out = part.join(F.broadcast(offsets), same, "left").drop("__range", *[f"__g_{g}" for g in group])
     for k in sums:
-        out = out.withColumn(k, F.col(f"__o_{k}") + F.coalesce(F.sum(f"__v_{k}").over(w), F.lit(0)))
+        out = out.withColumn(k, F.coalesce(F.col(f"__o_{k}"), F.lit(0)) + F.coalesce(F.sum(f"__v_{k}").over(w), F.lit(0)))
     if keep_range:
         out = out.withColumn(keep_range, F.col("__pid"))
     return out.drop("__pid", *[f"__v_{k}" for k in sums], *[f"__o_{k}" for k in sums])

@@ -15,7 +15,7 @@ from itemwise.plans import bucketed as B
 from itemwise.plans import merge as M
 from itemwise.plans import oracle as O
 from itemwise.plans import prepare as PR
-from itemwise.plans.catalog import CLEAN_SQL, EXPAND_VIEW, ORACLE, Ctx, query, r6
+from itemwise.plans.catalog import CLEAN_SQL, EXPAND_VIEW, LABEL_VIEW, ORACLE, Ctx, query, r6
 from itemwise.session import scratch_path, write_scratch
 from itemwise.sources import dated as DT
 from itemwise.sources import files as FI
@@ -49,13 +49,18 @@ def _as_files(ctx: Ctx, name: str, schema, position: str) -> DataFrame:
     return DT.with_position(ctx.spark.read.schema(schema).parquet(root), position)
 
 
+AT = ["__at_label", "__at_dua", "__at_llm", "__at_ici"]
+
+
+def _placed_raw(ctx: Ctx) -> DataFrame:
+    at = AT
+    return M.merge_sources(_as_files(ctx, "label_src", SC.LABEL, at[0]), _as_files(ctx, "dua_src", SC.DUA, at[1]),
+                           _as_files(ctx, "llm_src", SC.LLM, at[2]), ctx.src("ssr_src"),
+                           _as_files(ctx, "ici_src", SC.ICI, at[3]), carry=[at[2]])
+
+
 def _first_in_file_order(spark, d):
-    ctx = Ctx(spark, d)
-    at = ["__at_label", "__at_dua", "__at_llm", "__at_ici"]
-    raw = M.merge_sources(_as_files(ctx, "label_src", SC.LABEL, at[0]), _as_files(ctx, "dua_src", SC.DUA, at[1]),
-                          _as_files(ctx, "llm_src", SC.LLM, at[2]), ctx.src("ssr_src"),
-                          _as_files(ctx, "ici_src", SC.ICI, at[3]), carry=[at[2]])
-    return C.first_in_file_order(C.drop_null_key(raw), ["ds", "title_x"], at)
+    return C.first_in_file_order(C.drop_null_key(_placed_raw(Ctx(spark, d))), ["ds", "title_x"], AT)
 
 
 _PLACED = O.RAW_BASE
@@ -73,6 +78,13 @@ query("first_in_file_order",
       "ORDER BY lk, dk, ik) AS rn FROM raw WHERE category_name IS NOT NULL) WHERE rn = 1")(_first_in_file_order)
 
 
+query("label_items_in_file_order",
+      f"WITH {_PLACED}, raw_first AS (SELECT * EXCLUDE (rn, lk, dk, ik) FROM (SELECT *, row_number() OVER "
+      "(PARTITION BY ds, title_x ORDER BY lk, dk, ik) AS rn FROM raw WHERE category_name IS NOT NULL) WHERE rn = 1),\n"
+      f"{O.labelled('a', 7)}\nSELECT {', '.join(LABEL_VIEW)}, shop_title, click_sum FROM labelled")(
+    lambda spark, d: PR.clean_and_label(_placed_raw(Ctx(spark, d)), positions=AT).select(*LABEL_VIEW, "shop_title", "click_sum"))
+
+
 # --- token lists by the other plan ----------------------------------------------
 
 def _expanded_by_join(spark, d):

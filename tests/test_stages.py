@@ -307,3 +307,12 @@ def test_a_scope_removes_its_folders(spark, tmp_path):
         write_scratch(spark.range(3), "inside")
         1 / 0
     assert set(os.listdir(root)) == there and outside.count() == 3
+
+
+def test_positions_within_many_groups_and_a_null_one(spark):
+    from itemwise.functions.prefix import dense_positions
+    rows = [(None if i % 3 == 0 else f"g{i % 40}", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(6)
+    got = {(r.g, r.v): r.position for r in dense_positions(df, [F.col("v")], ["g"], ranges=7).collect()}
+    for g in {g for g, _ in rows}:
+        assert [got[g, v] for v in sorted(v for x, v in rows if x == g)] == list(range(sum(x == g for x, _ in rows)))
