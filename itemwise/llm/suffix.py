@@ -7,9 +7,10 @@ lengths, by prefix doubling), many anchors to an array of bounded size.  A
 stack scan walks the interval tree of common prefixes; an interval whose
 suffixes differ in the byte to their left is a maximal repeat, reported with
 all its occurrences.  Chunks that are equal as a whole form one class and
-enter once; an anchor with more distinct chunks than ``crowd`` is resolved
-window by window in Spark instead, with map-side combined counts, so no task
-ever holds an unbounded group.
+enter once.  An anchor with more distinct chunks than ``crowd`` gets sparse
+arrays instead (one suffix and one reversed prefix a chunk, the same scan),
+and one with more than ``huge`` has its windows counted in Spark, combined
+map-side, so no task ever holds an unbounded group.
 
 Input handling: null text is empty; texts shorter than the width lose
 nothing; matches never cross documents; equal rows (copies, or rows that

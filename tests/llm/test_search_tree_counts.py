@@ -167,11 +167,13 @@ def test_manifest_over_several_rounds(spark, levels, chunk):
     assert manifest_rows(spark, docs.repartition(4), levels=levels, chunk_rows=chunk) == brute_manifest(rows)
 
 
-@pytest.mark.parametrize("n", [1, 3, 728, 729, 730, 2188])
-def test_manifest_sizes_around_a_block(spark, n):
-    rows = [(i, "s", "en", 1, f"t\n{i}") for i in range(n)]
+def test_manifest_sizes_around_a_block(spark):
+    sizes = [1, 2, 3, 4, 728, 729, 730, 2188]
+    rows = [(10_000 * k + i, f"s{k}", "en", 1, f"t\n{i}") for k, n in enumerate(sizes) for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
     assert manifest_rows(spark, docs) == brute_manifest(rows)
+    alone = docs.where("source = 's4'")
+    assert manifest_rows(spark, alone) == brute_manifest([r for r in rows if r[1] == "s4"])
 
 
 def test_manifest_of_an_empty_table(spark):
