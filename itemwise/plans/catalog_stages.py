@@ -40,7 +40,9 @@ def _as_files(ctx: Ctx, name: str, schema, position: str) -> DataFrame:
     not show (that of a hash), and read back with each row's place."""
     src = ctx.src(name).withColumn("__h", SP._keyed("file", FILE_KEYS[name]))
     days = ["ds"] if "ds" in src.columns else []
-    rows = src.repartitionByRange(3, "__h").sortWithinPartitions(*days, "__h").drop("__h")
+    # As many files as the session has shuffle partitions, 3 at least: a task's share does not grow with the table.
+    parts = max(3, int(ctx.spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = src.repartitionByRange(parts, "__h").sortWithinPartitions(*days, "__h").drop("__h")
     root = scratch_path(ctx.spark, "in-order")
     if days:
         rows.write.partitionBy("ds").parquet(root)
@@ -107,8 +109,10 @@ def _bucketed(spark, d, last):
     ctx = Ctx(spark, d)
     texts = B.described(ctx.src("llm_src"), ctx.src("ssr_src"))
     sources = [ctx.src("label_src"), ctx.src("dua_src"), texts, ctx.src("ici_src")]
+    # One task reads a bucket of each table, so their number follows the session's partitions.
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     with B.bucket_tables(spark) as write:
-        tables = [write(df, t, 8) for df, t in zip(sources, ("title", "item_title", "item_title", "title"))]
+        tables = [write(df, t, buckets) for df, t in zip(sources, ("title", "item_title", "item_title", "title"))]
         titled = last(B.merge_bucketed(*tables))
         rest = last(B.merge_bucketed(*B.untitled(*sources), null_equal=True))
         return write_scratch(titled.unionByName(rest), "merged")      # before the tables go
@@ -213,10 +217,10 @@ query("stage_replaced_days", CLEAN_SQL + f"\nSELECT {', '.join(EXPAND_VIEW)} FRO
 query("shuffle_rows_indexed",
       CLEAN_SQL + f"\nSELECT ds, title_x, lable_x, row_number() OVER (ORDER BY {keyed_sql(42, ['ds', 'title_x'])}) - 1 AS \"index\" "
       "FROM clean")(
-    lambda spark, d: SP.shuffled(Ctx(spark, d).clean().select("ds", "title_x", "lable_x"), ["ds", "title_x"]))
+    lambda spark, d: SP.shuffled(Ctx(spark, d).clean_once().select("ds", "title_x", "lable_x"), ["ds", "title_x"]))
 
 query("hash_split_rows",
       CLEAN_SQL + ", b AS (SELECT ds, title_x, CAST('0x' || substr(" + keyed_sql(42, ["title_x"]) + ", 1, 8) AS BIGINT) % 10000 AS b "
       "FROM clean) SELECT ds, title_x, CASE WHEN b < 8000 THEN 'train' WHEN b < 9500 THEN 'valid' ELSE 'test' END AS split FROM b")(
-    lambda spark, d: SP.keyed_split(Ctx(spark, d).clean().select("ds", "title_x"), "title_x", (0.8, 0.15, 0.05),
+    lambda spark, d: SP.keyed_split(Ctx(spark, d).clean_once().select("ds", "title_x"), "title_x", (0.8, 0.15, 0.05),
                                     ("train", "valid", "test")))
\ No newline at end of file
