@@ -9,10 +9,13 @@ of a day are first counted as one (rows may repeat, no row key is needed).
 Token frequencies are sums over these distinct lists, written once, and
 measured.  While they are few (``MAP_TOKENS`` a day and list, ``MAP_BYTES`` in
 all) they come back as one map for each day, which is broadcast: each row
-orders its own tokens by it, and no row is shuffled.  Beyond that, the lists
-longer than ``k`` are joined to the frequencies, ranked with a literal group
-limit, written once, and brought back by (day, digest of the list).  Lists of
-at most ``k`` tokens never leave their row.  Groups match null to null.
+orders its own tokens by it, and no row is shuffled.  Beyond that, each day's
+``HEAD_TOKENS`` most frequent tokens are broadcast: a list that holds ``k`` of
+them or more has its top there, since every other token is less frequent.  Only
+the other lists longer than ``k`` are joined to the frequencies, ranked with a
+literal group limit, written once, and brought back by (day, digest of the
+list).  Lists of at most ``k`` tokens never leave their row.  Groups match null
+to null.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ DELIMITER = ";"
 # A map is searched from its start for each token, so it pays while it is short.
 MAP_TOKENS = 2_000
 MAP_BYTES = 32 << 20
+HEAD_TOKENS = 32
 # Pads are null inside the pipeline: a real token may be the text "-1".
 PAD = None
 
@@ -85,7 +89,7 @@ def _same_group(group: Sequence[str]) -> list[Column]:
 
 def _ordered_by(counts: Column):
     """A list's element as (fewest last, first place first, token)."""
-    return lambda t, at: F.struct((-F.element_at(counts, t)).alias("n"), at.alias("at"), t.alias("token"))
+    return lambda t, at: F.struct((-F.try_element_at(counts, t)).alias("n"), at.alias("at"), t.alias("token"))
 
 
 def _by_map(df: DataFrame, freq: DataFrame, specs: Sequence[tuple[str, int]], group: list[str], delim: str) -> DataFrame:
@@ -105,6 +109,47 @@ def _by_map(df: DataFrame, freq: DataFrame, specs: Sequence[tuple[str, int]], gr
     return out.drop(*[f"__g_{g}" for g in group], *[f"__map_{i}" for i in range(len(specs))])
 
 
+def _heads(freq: DataFrame, group: list[str], n_lists: int, head_tokens: int) -> DataFrame:
+    """A map for each group and list of at most ``head_tokens`` tokens and
+    their frequencies, all above that of every token left out."""
+    by = [col(g) for g in group]
+    w = Window.partitionBy(*by, "__list").orderBy(F.desc("__n"), "__token")
+    first = freq.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= head_tokens + 1)
+    # The token behind the last place, if there is one, is the first left out.
+    heads = first.groupBy(*by, "__list").agg(
+        F.collect_list(F.struct("__token", "__n")).alias("__head"),
+        F.max(F.when(F.col("__rn") > head_tokens, F.col("__n"))).alias("__out"))
+    heads = heads.select(*[col(g).alias(f"__g_{g}") for g in group], "__list", F.map_from_entries(F.filter(
+        "__head", lambda e: e["__n"] > F.coalesce("__out", F.lit(0)))).alias("__head"))
+    return heads.groupBy(*[f"__g_{g}" for g in group]).agg(*[
+        F.first(F.when(F.col("__list") == i, F.col("__head")), ignorenulls=True).alias(f"__map_{i}") for i in range(n_lists)])
+
+
+def _by_heads(df: DataFrame, heads: DataFrame, specs: Sequence[tuple[str, int]], group: list[str], delim: str) -> DataFrame:
+    """Appends ``__head_i``: the k most frequent tokens of a longer list that
+    holds k tokens of its group's head; null for the others."""
+    out = df.join(F.broadcast(heads), reduce(lambda a, b: a & b, _same_group(group)), "left")
+    for i, (c, k) in enumerate(specs):
+        arr = split_tokens(c, delim)
+        place = F.transform(arr, _ordered_by(F.col(f"__map_{i}")))
+        best = F.slice(F.array_sort(F.filter(place, lambda e: e["n"].isNotNull())), 1, k)
+        found = F.transform(best, lambda e: e["token"])
+        out = out.withColumn(f"__head_{i}", F.when(F.size(arr) > k, found))
+        out = out.withColumn(f"__head_{i}", F.when(F.size(f"__head_{i}") == k, F.col(f"__head_{i}")))
+    return out.drop(*[f"__g_{g}" for g in group], *[f"__map_{i}" for i in range(len(specs))])
+
+
+def _distinct_lists(df: DataFrame, texts: Sequence[Column], specs: Sequence[tuple[str, int]], group: list[str], delim: str
+                    ) -> DataFrame:
+    """Equal lists of a group as one row with their count."""
+    by = [col(g) for g in group]
+    rows = F.array(*[F.struct(F.lit(i).alias("__list"), F.lit(k).alias("__k"), text.alias("__text"))
+                     for i, ((_, k), text) in enumerate(zip(specs, texts))])
+    return (df.select(*by, F.inline(rows)).where("__text IS NOT NULL")
+            .groupBy(*by, "__list", "__k", "__text").agg(F.count(F.lit(1)).alias("__c"))
+            .select(*by, "__list", "__k", "__c", F.md5("__text").alias("__md5"), split_tokens("__text", delim).alias("__a")))
+
+
 def _by_join(df: DataFrame, lists: DataFrame, freq: DataFrame, specs: Sequence[tuple[str, int]], group: list[str]
              ) -> DataFrame:
     """As ``_by_map``, by a join of the longer lists' tokens to the frequencies
@@ -135,21 +180,17 @@ def _by_join(df: DataFrame, lists: DataFrame, freq: DataFrame, specs: Sequence[t
 
 
 def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[str] = ("ds",),
-               delim: str = DELIMITER, pad=PAD, out_fmt: str = "{}_topk", map_tokens: int = MAP_TOKENS) -> DataFrame:
+               delim: str = DELIMITER, pad=PAD, out_fmt: str = "{}_topk", map_tokens: int = MAP_TOKENS,
+               head_tokens: int = HEAD_TOKENS) -> DataFrame:
     """Append one array of exactly ``k`` tokens per (column, k) in ``specs``;
     one frequency aggregate serves all list columns.  ``map_tokens`` = 0 always
-    takes the join."""
+    takes the join, ``head_tokens`` = 0 for every longer list."""
     group = list(group)
     specs = [(c, k) for c, k in specs if c in df.columns]
     if not specs:
         return df
     by = [col(g) for g in group]
-    texts = F.array(*[F.struct(F.lit(i).alias("__list"), F.lit(k).alias("__k"), col(c).alias("__text"))
-                      for i, (c, k) in enumerate(specs)])
-    lists = (df.select(*by, F.inline(texts)).where("__text IS NOT NULL")
-             .groupBy(*by, "__list", "__k", "__text").agg(F.count(F.lit(1)).alias("__c"))
-             .select(*by, "__list", "__k", "__c", F.md5("__text").alias("__md5"),
-                     split_tokens("__text", delim).alias("__a")))
+    lists = _distinct_lists(df, [col(c) for c, _ in specs], specs, group, delim)
     freq = write_scratch(lists.select(*by, "__list", "__c", F.explode("__a").alias("__token"))
                          .groupBy(*by, "__list", "__token").agg(F.sum("__c").alias("__n")), "token-counts")
     size = (freq.groupBy(*by, "__list").agg(F.count(F.lit(1)).alias("tokens"), F.sum(F.octet_length("__token") + 24).alias("bytes"))
@@ -158,7 +199,19 @@ def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[
     if group and (size["tokens"] or 0) <= map_tokens and (size["bytes"] or 0) <= MAP_BYTES:
         out = _by_map(df, freq, specs, group, delim)
     else:
+        heads = group and head_tokens and write_scratch(_heads(freq, group, len(specs), head_tokens), "token-heads")
+        size = heads and heads.agg(F.sum(sum((F.coalesce(F.aggregate(
+            F.map_keys(f"__map_{i}"), F.lit(0), lambda n, t: n + F.octet_length(t) + 24), F.lit(0)) for i in range(len(specs))),
+            F.lit(64))).alias("bytes")).first()
+        if heads and (size["bytes"] or 0) <= MAP_BYTES:
+            df = _by_heads(df, heads, specs, group, delim)
+            lists = _distinct_lists(df, [F.when(F.col(f"__head_{i}").isNull(), col(c)) for i, (c, _) in enumerate(specs)],
+                                    specs, group, delim)
+        else:
+            df = df.withColumns({f"__head_{i}": F.lit(None).cast("array<string>") for i in range(len(specs))})
         out = _by_join(df, lists, freq, specs, group)
+        for i in range(len(specs)):
+            out = out.withColumn(f"__top_{i}", F.coalesce(f"__head_{i}", f"__top_{i}")).drop(f"__head_{i}")
     for i, (c, k) in enumerate(specs):
         # __top_i is set exactly for the lists longer than k.
         chosen = F.coalesce(F.col(f"__top_{i}"), split_tokens(c, delim))

@@ -73,3 +73,30 @@ def test_boosting_uses_idle_cores_and_gives_the_same_trees(spark, monkeypatch):
     monkeypatch.setattr(boost._Rows, "__init__", init)
     assert fitted() == alone
     assert max(seen) > 1 and alone[0]
+
+
+def test_lists_with_frequent_tokens_leave_the_join(spark, monkeypatch):
+    """Lists that hold k of the most frequent tokens have their top there; ties
+    at the end of the head, null groups and lists without frequent tokens
+    come out as by the join alone."""
+    import random
+
+    from itemwise.operators import tokens as TK
+
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(draw.choice(["a", "b", None]), " ".join(draw.choices(words, [1 / (i // 3 + 1) for i in range(60)], k=draw.randint(0, 12))))
+            for _ in range(300)] + [("a", None), ("b", ""), ("c", "x y z x y"), (None, "w59 w58 w57 w56 w59")]
+    df = spark.createDataFrame(rows, "g string, text string")
+    joined = []
+    by_join = TK._by_join
+
+    def seen(df, lists, *rest):
+        joined.append(lists.where(F.size("__a") > F.col("__k")).count())
+        return by_join(df, lists, *rest)
+
+    monkeypatch.setattr(TK, "_by_join", seen)
+    found = [sorted(map(repr, TK.topk_lists(df, [("text", 3)], ["g"], " ", map_tokens=0, head_tokens=n).collect()))
+             for n in (0, 1, 7, 8, 32)]
+    assert all(f == found[0] for f in found) and len(found[0]) == len(rows)
+    assert joined[-1] < joined[2] < joined[0] and joined[-1] < joined[0] / 2
