@@ -11,7 +11,9 @@ ranks every 512 bits.  It answers access, count (rank) and occurrence
 Equal words are common, so the library is asked once for each distinct word
 of a task's cache.  A text is cut before every single space between two
 characters that are not white space; there the pre-tokenizer always cuts too.
-Texts with other white space next to a space are encoded whole.
+Texts with other white space next to a space are encoded whole.  New words of
+ASCII and Latin letters are cut further, where the pre-tokenizer cuts, and the
+library's model is asked once for each distinct piece.
 
 Input handling: null text is empty and gives just the end id; rows that
 repeat a doc_id follow each other, ordered by their text's hash; a null
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,6 +47,21 @@ BLOCK = 512                  # bits between stored ranks
 SHARD_TOKENS = 4_000_000
 CACHE_WORDS = 1_600_000      # distinct words whose ids a worker keeps (some 200 bytes each)
 END = 0
+# Words of ASCII and of Latin letters, for which the classes below are those of
+# the byte-level pre-tokenizer; any other word is left to the library whole.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+SAFE = re.compile(rf"[!-~{_LETTERS}\n]+")
+PIECE = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTERS}]+| ?[0-9]+| ?[!-/:-@\[-`{{-~]+|\n+(?!\S)|\n+")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_CHARS = _byte_chars()
 
 
 class Encoder:
@@ -58,6 +77,8 @@ class Encoder:
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         size = self.tokenizer.get_vocab_size()
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.pieces: dict[str, bytes] = {}
+        self._read(path)
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
 
@@ -67,8 +88,42 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def _read(self, path: str) -> None:
+        """Whether ``PIECE`` cuts as the pre-tokenizer would: not where the
+        tokenizer is no plain byte-level BPE.  Added tokens are never cut."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        self.safe = (before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                     and not before.get("add_prefix_space", True) and spec.get("normalizer") is None
+                     and model.get("type") == "BPE" and not model.get("dropout"))
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+
+    def _learn_pieces(self, known: dict, words: list[str], lead: str) -> None:
+        """Ids of new words from those of their pieces; the library's model is
+        asked once for each piece."""
+        cut = [[lead + w] if w.isalpha() else PIECE.findall(lead + w) for w in words]
+        if len(self.pieces) > CACHE_WORDS // 4:
+            self.pieces.clear()
+        new = list(set().union(*cut) - self.pieces.keys())
+        ask, code = self.tokenizer.model.tokenize, "H" if self.type.itemsize == 2 else "I"
+
+        def pack(*ids):
+            return struct.pack(f"<{len(ids)}{code}", *ids)
+
+        for piece in new:
+            mapped = piece.encode().decode("latin-1").translate(BYTE_CHARS)
+            self.pieces[piece] = pack(*[t.id for t in ask(mapped)])
+        ids = self.pieces.__getitem__
+        known.update((w, b"".join(map(ids, p))) for w, p in zip(words, cut))
+
     def _learn(self, known: dict, words: list[str], lead: str) -> None:
         """Ids of new words; None for those with white space at an end."""
+        if self.safe:
+            safe = [w for w in words if SAFE.fullmatch(w) and not any(t in w for t in self.added)
+                    and w[0] != "\n" and w[-1] != "\n"]
+            self._learn_pieces(known, safe, lead)
+            words = [w for w in words if w not in known]
         plain = [w for w in words if w.isprintable() and w]    # printable: no white space but the space
         other = [w for w in words if not w.isprintable() or not w]
         fit = [w for w in other if w and not w[0].isspace() and not w[-1].isspace()]
@@ -89,22 +144,39 @@ class Encoder:
         done = self.tokenizer.encode_batch_fast([lead + w for w in fit], add_special_tokens=False)
         known.update((w, np.array(e.ids, self.type).tobytes()) for w, e in zip(fit, done))
 
+    def _known(self, known: dict, words: list[str], lead: str) -> list[bytes | None]:
+        """The ids of distinct words."""
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = [w for w in words if w not in known]
+        if new:
+            self._learn(known, new, lead)
+        return list(map(known.__getitem__, words))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        heads, tails = [p[0] for p in split], [p[1:] for p in split]
-        for known, words, lead in ((self.first, set(heads), ""), (self.later, set().union(*tails), " ")):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            new = list(words - known.keys())
-            if new:
-                self._learn(known, new, lead)
-        out = []
-        for text, head, tail in zip(texts, heads, tails):
-            try:
-                out.append(b"".join([self.first[head], *map(self.later.__getitem__, tail)]))
-            except TypeError:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
-                out.append(np.array(ids, self.type).tobytes())
+        """Arrow numbers the words, so that Python sees the distinct ones of a
+        call, and puts their ids in the places of the words."""
+        if not texts:
+            return []
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        starts = split.offsets.to_numpy()
+        words = split.flatten()
+        place = np.arange(len(words))
+        head = np.zeros(len(words), bool)
+        head[starts[:-1]] = True
+        number, table = np.empty(len(words), np.int64), []
+        for known, at, lead in ((self.first, place[head], ""), (self.later, place[~head], " ")):
+            coded = words.take(pa.array(at)).dictionary_encode()
+            number[at] = coded.indices.to_numpy() + len(table)
+            table += self._known(known, coded.dictionary.to_numpy(zero_copy_only=False).tolist(), lead)
+        whole = np.array([ids is None for ids in table], bool)
+        ids = pa.array([ids or b"" for ids in table], pa.large_binary()).take(pa.array(number))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[:len(words) + 1][starts].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        out = [bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        for i in np.flatnonzero(np.logical_or.reduceat(whole[number], starts[:-1])).tolist():
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids if texts[i] else []
+            out[i] = np.array(ids, self.type).tobytes()
         return out
 
 
@@ -258,8 +330,8 @@ def _shard_batches(folder: str, tokenizer: str, shard_tokens: int):
                 ["part", "number", "path", "documents", "tokens"])
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                block = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 2048):
+                block = batch.slice(lo, 2048)
                 texts = [t or "" for t in block.column(1).to_pylist()]
                 for i, encoded in zip(block.column(0).to_pylist(), encoder.encode(texts)):
                     ids.append(i)

@@ -126,6 +126,19 @@ def test_shards_match_the_library(spark):
     assert found == np.flatnonzero(every == 0).tolist()
 
 
+def test_new_words_are_learned_by_their_pieces():
+    encoder = wavelet.Encoder(BPE)
+    rnd = random.Random(2)
+    parts = [*"ab'sd12.,-_~\n\n  \t\u00e9\u00df\u0131\u00b2\u00aa\u4e2d\u0301\u200b<|>", "<|endoftext|>", "'ll", "'S", "\r\n", " \n", "\x85"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 25))) for _ in range(3000)] + ["xyzzy xyzzy. (xyzzy), plugh", "xyzzy! plugh?"]
+    for lo in range(0, len(texts), 500):
+        for text, ids in zip(texts[lo:lo + 500], encoder.encode(texts[lo:lo + 500])):
+            assert np.frombuffer(ids, encoder.type).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    # One entry however many words hold the piece, and none for what has to stay whole.
+    assert {" plugh", "xyzzy"} <= encoder.pieces.keys() and not any("xyzzy." in p or "endoftext|>" in p for p in encoder.pieces)
+    assert encoder.encode([]) == [] and encoder.encode([""]) == [b""]
+
+
 def test_shards_of_nothing_and_of_odd_ids(spark):
     assert wavelet.read_documents(wavelet.write_tokens(cases.empty(spark), BPE)).count() == 0
     docs = spark.createDataFrame([(None, "a"), (3, None), (3, "b"), (1, "")], "doc_id long, text string")
