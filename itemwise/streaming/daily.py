@@ -21,7 +21,8 @@ from itemwise.sources.files import read_stage, write_stage
 def process_days(spark: SparkSession, raw_stage: str, clean_stage: str, days: list[str],
                  category_feature: DataFrame, rule: str = "a") -> None:
     raw = read_stage(spark, raw_stage).where(F.col("ds").isin(days))
-    write_stage(prepare_day_items(raw, category_feature, rule=rule), clean_stage)
+    # Read once, by the write to the sink: not staged before.
+    write_stage(prepare_day_items(raw, category_feature, rule=rule, stage_clean=False), clean_stage)
 
 
 def run_daily_clean(spark: SparkSession, raw_stage: str, clean_stage: str,
@@ -35,7 +36,8 @@ def run_daily_clean(spark: SparkSession, raw_stage: str, clean_stage: str,
         if days:
             process_days(spark, raw_stage, clean_stage, days, category_feature, rule)
 
-    stream = spark.readStream.schema(schema).parquet(raw_stage)
+    # A batch only says which days received files; their rows are read from the stage.
+    stream = spark.readStream.schema(schema).parquet(raw_stage).select("ds")
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

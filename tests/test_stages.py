@@ -316,3 +316,28 @@ def test_positions_within_many_groups_and_a_null_one(spark):
     got = {(r.g, r.v): r.position for r in dense_positions(df, [F.col("v")], ["g"], ranges=7).collect()}
     for g in {g for g, _ in rows}:
         assert [got[g, v] for v in sorted(v for x, v in rows if x == g)] == list(range(sum(x == g for x, _ in rows)))
+
+
+def test_the_stream_writes_clean_once_and_its_batches_read_only_days(spark, tmp_path, monkeypatch):
+    from pyspark.sql.streaming.readwriter import DataStreamWriter
+
+    from itemwise.sources import files as FI
+    from itemwise.streaming import daily as DY
+
+    rows = [("2001", "a", 1), ("2001", "b", 2), ("2002", "a", 3)]
+    raw = spark.createDataFrame(rows, "ds string, title_x string, buy_num_x int")
+    FI.write_stage(raw, str(tmp_path / "raw"))
+    asked, columns, each = [], [], DataStreamWriter.foreachBatch
+
+    def prepared(raw, category_feature, **kw):
+        asked.append(kw.get("stage_clean", True))
+        return raw
+
+    def watched(self, fn):
+        return each(self, lambda df, epoch: (columns.append(df.columns), fn(df, epoch))[1])
+
+    monkeypatch.setattr(DY, "prepare_day_items", prepared)
+    monkeypatch.setattr(DataStreamWriter, "foreachBatch", watched)
+    DY.run_daily_clean(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), raw.limit(0), str(tmp_path / "at"))
+    assert asked == [False] and columns == [["ds"]]
+    assert sorted(map(tuple, FI.read_stage(spark, str(tmp_path / "clean")).select(*raw.columns).collect())) == rows
