@@ -341,3 +341,21 @@ def test_the_stream_writes_clean_once_and_its_batches_read_only_days(spark, tmp_
     DY.run_daily_clean(spark, str(tmp_path / "raw"), str(tmp_path / "clean"), raw.limit(0), str(tmp_path / "at"))
     assert asked == [False] and columns == [["ds"]]
     assert sorted(map(tuple, FI.read_stage(spark, str(tmp_path / "clean")).select(*raw.columns).collect())) == rows
+
+
+def test_a_vocabulary_alone_writes_no_encoded_rows(spark, monkeypatch):
+    from itemwise.operators import encode as EN
+    from itemwise.plans import train as TR
+
+    df = spark.createDataFrame([("b", "x", 1), ("a", None, 0)], "category_name string, feature1 string, lable_x int")
+    written, write = [], TR.write_scratch
+    monkeypatch.setattr(TR, "write_scratch", lambda df, name: (written.append(name), write(df, name))[1])
+    tr, te, vocab = TR.fit_and_encode(df, df.limit(1), stage_encoded=False)
+    assert not written
+    want = [("category_name", "a", 0), ("category_name", "b", 1), ("feature1", "x", 0)]
+    assert sorted(map(tuple, vocab.collect())) == want
+    staged = TR.fit_and_encode(df, df.limit(1))
+    assert written == ["encoded"]
+    for a, b in zip((tr, te, vocab), staged):
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert tr.columns == df.columns and EN.UNSEEN_CODE in {r.feature1 for r in tr.collect()}
