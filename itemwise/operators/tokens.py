@@ -122,7 +122,7 @@ def _heads(freq: DataFrame, group: list[str], n_lists: int, head_tokens: int) ->
     heads = heads.select(*[col(g).alias(f"__g_{g}") for g in group], "__list", F.map_from_entries(F.filter(
         "__head", lambda e: e["__n"] > F.coalesce("__out", F.lit(0)))).alias("__head"))
     return heads.groupBy(*[f"__g_{g}" for g in group]).agg(*[
-        F.first(F.when(F.col("__list") == i, F.col("__head")), ignorenulls=True).alias(f"__map_{i}") for i in range(n_lists)])
+        F.first(F.when(F.col("__list") == i, F.col("__head")), ignorenulls=True).alias(f"__heads_{i}") for i in range(n_lists)])
 
 
 def _by_heads(df: DataFrame, heads: DataFrame, specs: Sequence[tuple[str, int]], group: list[str], delim: str) -> DataFrame:
@@ -131,12 +131,12 @@ def _by_heads(df: DataFrame, heads: DataFrame, specs: Sequence[tuple[str, int]],
     out = df.join(F.broadcast(heads), reduce(lambda a, b: a & b, _same_group(group)), "left")
     for i, (c, k) in enumerate(specs):
         arr = split_tokens(c, delim)
-        place = F.transform(arr, _ordered_by(F.col(f"__map_{i}")))
+        place = F.transform(arr, _ordered_by(F.col(f"__heads_{i}")))
         best = F.slice(F.array_sort(F.filter(place, lambda e: e["n"].isNotNull())), 1, k)
         found = F.transform(best, lambda e: e["token"])
         out = out.withColumn(f"__head_{i}", F.when(F.size(arr) > k, found))
         out = out.withColumn(f"__head_{i}", F.when(F.size(f"__head_{i}") == k, F.col(f"__head_{i}")))
-    return out.drop(*[f"__g_{g}" for g in group], *[f"__map_{i}" for i in range(len(specs))])
+    return out.drop(*[f"__g_{g}" for g in group], *[f"__heads_{i}" for i in range(len(specs))])
 
 
 def _distinct_lists(df: DataFrame, texts: Sequence[Column], specs: Sequence[tuple[str, int]], group: list[str], delim: str
@@ -201,7 +201,7 @@ def topk_lists(df: DataFrame, specs: Sequence[tuple[str, int]], group: Sequence[
     else:
         heads = group and head_tokens and write_scratch(_heads(freq, group, len(specs), head_tokens), "token-heads")
         size = heads and heads.agg(F.sum(sum((F.coalesce(F.aggregate(
-            F.map_keys(f"__map_{i}"), F.lit(0), lambda n, t: n + F.octet_length(t) + 24), F.lit(0)) for i in range(len(specs))),
+            F.map_keys(f"__heads_{i}"), F.lit(0), lambda n, t: n + F.octet_length(t) + 24), F.lit(0)) for i in range(len(specs))),
             F.lit(64))).alias("bytes")).first()
         if heads and (size["bytes"] or 0) <= MAP_BYTES:
             df = _by_heads(df, heads, specs, group, delim)
