@@ -94,7 +94,9 @@ def _expanded_by_join(spark, d):
     labelled = PR.clean_and_label(ctx.raw())
     with_cf = PR.left_join_dimension(labelled, ctx.src("category_feature_src"), on=["level_one_category_name", "category_name"])
     specs = [("feature", TK.FEATURE_K), *((c, TK.PAIR_K) for c in TK.PAIR_COLUMNS)]
-    out = TK.topk_lists(PR.staged(with_cf, "labelled"), specs, ["ds"], map_tokens=0)
+    # The stage is read for these columns only; the others need not travel through the joins.
+    rows = with_cf.select("ds", "title_x", "lable_x", *[c for c, _ in specs])
+    out = TK.topk_lists(PR.staged(rows, "labelled"), specs, ["ds"], map_tokens=0)
     names = [TK.FEATURE_NAMES, *([f"{c}_1", f"{c}_2"] for c in TK.PAIR_COLUMNS)]
     return out.select("ds", "title_x", "lable_x", *[F.col(f"{c}_topk")[i].alias(n) for (c, _), ns in zip(specs, names)
                                                     for i, n in enumerate(ns)])
