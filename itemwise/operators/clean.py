@@ -108,6 +108,17 @@ def step_counts(df: DataFrame, title: str = "title_x", category: str = "category
     return one.select(F.inline(F.array(*lines)))
 
 
+def _with_join_keys(df: DataFrame, title: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with the two values by which a null-safe join on ``title`` deals
+    out its rows, and their names.  They follow from the title, so they change
+    neither copies nor groups; but rows that come from such a join lie
+    together by them, so no further shuffle of whole rows is planned."""
+    if df.schema[title].dataType.typeName() != "string":
+        return df, []
+    near = {"__given": F.coalesce(col(title), F.lit("")), "__absent": col(title).isNull()}
+    return df.withColumns(near), list(near)
+
+
 class CleaningCounts:
     """Row counts of the cleaning steps, observed while the cleaned table is
     written: no step is computed a second time to be counted.
@@ -135,10 +146,12 @@ class CleaningCounts:
                 rule: str = "a", order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
         keys = ([ds] if ds and ds in df.columns else []) + [title]
         df = self._seen(df, "input").drop(*self.json)
+        near: list[str] = []
         if "distinct" in self.steps:
+            df, near = _with_join_keys(df, title)
             df = self._seen(distinct_rows(df), "distinct")
         df = self._seen(drop_null_key(df, [category]), "non_null_category")
-        df = self._seen(dedup_keep_first(df, keys, order), "one_per_title")
+        df = self._seen(dedup_keep_first(df, [*keys, *near], order).drop(*near), "one_per_title")
         df = self._seen(df.where(L.not_single_buy()), "not_single_buy")
         return self._seen(label_items(df, rule), "labelled")
 

@@ -16,7 +16,7 @@ from itemwise.plans import merge as M
 from itemwise.plans import oracle as O
 from itemwise.plans import prepare as PR
 from itemwise.plans.catalog import CLEAN_SQL, EXPAND_VIEW, LABEL_VIEW, ORACLE, Ctx, query, r6
-from itemwise.session import scratch_path, write_scratch
+from itemwise.session import scratch_path, skewed_joins_split, write_scratch
 from itemwise.sources import dated as DT
 from itemwise.sources import files as FI
 from itemwise.sources import manifest as MF
@@ -129,7 +129,8 @@ query("clean_items_bucketed", ORACLE["clean_items"])(
 
 def _observed_counts(spark, d):
     counts = C.CleaningCounts(distinct=True)
-    FI.write_stage(counts.cleaned(Ctx(spark, d).raw(), order=PR.DEDUP_ORDER), scratch_path(spark, "cleaned"))
+    with skewed_joins_split(spark):
+        FI.write_stage(counts.cleaned(Ctx(spark, d).raw(), order=PR.DEDUP_ORDER), scratch_path(spark, "cleaned"))
     rows = [(i, step, n) for i, (step, n) in enumerate(counts.rows.items())]
     return spark.createDataFrame(rows, "step_no int, step string, rows long")
 
